@@ -59,10 +59,11 @@ class ProfileConfig:
     seed: int = 42
 
 
-#: Default parameters per model.
+# Default parameters per model. Iterations of the SVM are full passes over the data
+# here, so far fewer are allowed than a coordinate solver would count.
 DEFAULT_MODEL_PARAMS: dict[str, dict[str, Any]] = {
     "logistic_regression": {"C": 1.0, "max_iter": 2000, "class_weight": "balanced"},
-    "linear_svm": {"C": 1.0, "max_iter": 5000, "class_weight": "balanced"},
+    "linear_svm": {"C": 1.0, "max_iter": 100, "class_weight": "balanced"},
     "multinomial_nb": {"alpha": 1.0},
     "random_forest": {"n_estimators": 300, "max_depth": 40, "class_weight": "balanced"},
     "sgd_linear": {"alpha": 0.0001, "max_iter": 2000},

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Callable
 from typing import Any
 
@@ -14,7 +16,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinara.functions.numeric import sigmoid
@@ -27,6 +29,9 @@ from opinara.staging import stage
 #: Deepest tree MLlib grows.
 MAX_TREE_DEPTH = 30
 
+#: Rows worth a task of their own in the passes of a linear solver.
+ROWS_PER_TASK = 5_000
+
 #: Calibration folds.
 CALIBRATION_FOLDS = 3
 
@@ -141,6 +146,11 @@ def _weighted(df: DataFrame, params: dict[str, Any]) -> tuple[DataFrame, dict[st
     return df, {}, float(df.count())
 
 
+def _packed(df: DataFrame, rows: float) -> DataFrame:
+    """Fewer, fuller partitions for a solver's many passes; large tables keep theirs."""
+    return df.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
+
+
 def fit_logistic(df: DataFrame, params: dict[str, Any], seed: int, n_features: int) -> LogisticClassifier:
     """L2 penalty 1/C on the summed loss, which MLlib averages."""
     df, extra, total = _weighted(df, params)
@@ -149,22 +159,24 @@ def fit_logistic(df: DataFrame, params: dict[str, Any], seed: int, n_features: i
         elasticNetParam=0.0,
         standardization=False,
         maxIter=params.get("max_iter", 100),
+        tol=params.get("tol", 1e-4),
         **extra,
     )
-    return LogisticClassifier(estimator.fit(df))
+    return LogisticClassifier(estimator.fit(_packed(df, total)))
 
 
 def fit_sgd_linear(df: DataFrame, params: dict[str, Any], seed: int, n_features: int) -> LogisticClassifier:
     """Log loss averaged over rows with an L2 penalty ``alpha``."""
-    df, extra, _ = _weighted(df, params)
+    df, extra, total = _weighted(df, params)
     estimator = LogisticRegression(
         regParam=params.get("alpha", 0.0001),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=params.get("max_iter", 1000),
+        tol=params.get("tol", 1e-4),
         **extra,
     )
-    return LogisticClassifier(estimator.fit(df))
+    return LogisticClassifier(estimator.fit(_packed(df, total)))
 
 
 def _fit_svc(df: DataFrame, params: dict[str, Any]) -> LinearSVCModel:
@@ -173,8 +185,9 @@ def _fit_svc(df: DataFrame, params: dict[str, Any]) -> LinearSVCModel:
         regParam=1.0 / (params.get("C", 1.0) * total),
         standardization=False,
         maxIter=params.get("max_iter", 100),
+        tol=params.get("tol", 1e-4),
         **extra,
-    ).fit(df)
+    ).fit(_packed(df, total))
 
 
 def fit_linear_svm(df: DataFrame, params: dict[str, Any], seed: int, n_features: int) -> MarginClassifier:
@@ -197,10 +210,8 @@ def _fit_sigmoid(margins: DataFrame) -> tuple[float, float]:
         F.struct(F.lit(1.0).alias("label"), target.alias("weight")),
         F.struct(F.lit(0.0).alias("label"), (1.0 - target).alias("weight")),
     ).cast(schema)
-    from pyspark.ml.functions import array_to_vector
-
     rows = margins.select(array_to_vector(cell).alias("features"), F.inline(both))
-    model = LogisticRegression(regParam=0.0, standardization=False, maxIter=200, tol=1e-9, weightCol="weight").fit(rows)
+    model = LogisticRegression(regParam=0.0, standardization=False, maxIter=200, tol=1e-9, weightCol="weight").fit(_packed(rows, 2.0 * (sizes.n_0 + sizes.n_1)))
     return float(model.coefficients[0]), float(model.intercept)
 
 

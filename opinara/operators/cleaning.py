@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from opinara.config import CleaningConfig
 from opinara.functions.text import clean_expr, wants_lemmas
+from opinara.functions.wordlists import CLEANER_STOPWORDS
 from opinara.operators.lemmas import corpus_lexicon, lemma_table, lemmatize, term_frequencies
 
 
@@ -35,3 +36,9 @@ def clean_table(
 def empty_after_clean(df: DataFrame, column: str = "clean_review") -> DataFrame:
     blank = F.count_if(F.trim(F.col(column)) == "")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), blank.alias("n_empty"))
+
+
+def stopword_antijoin(words: DataFrame, stopwords=CLEANER_STOPWORDS) -> DataFrame:
+    """Rows of a long table whose ``term`` is not on the list."""
+    stop = words.sparkSession.createDataFrame([(w,) for w in stopwords], "term string")
+    return words.join(F.broadcast(stop), "term", "left_anti")

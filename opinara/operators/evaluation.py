@@ -38,20 +38,24 @@ def confusion_matrix(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame
     return _cells(df, by).select(*by, cells)
 
 
+def _from_cells(cells: DataFrame, by: Sequence[str], *names: str) -> DataFrame:
+    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
+    values = {
+        "accuracy": ratio(tp + tn, tp + tn + fp + fn),
+        "precision": ratio(tp, tp + fp),
+        "recall": ratio(tp, tp + fn),
+        "f1": ratio(2 * tp, 2 * tp + fp + fn),
+    }
+    return cells.select(*by, *[round_half_up(values[n], METRIC_DIGITS).alias(n) for n in names])
+
+
 def accuracy(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    hit = (F.col("label") == F.col("prediction")).cast("double")
-    return df.groupBy(*by).agg(round_half_up(F.avg(hit), METRIC_DIGITS).alias("accuracy"))
+    return _from_cells(_cells(df, by), by, "accuracy")
 
 
 def precision_recall_f1(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Of the positive class; 0 where undefined."""
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return _cells(df, by).select(
-        *by,
-        round_half_up(ratio(tp, tp + fp), METRIC_DIGITS).alias("precision"),
-        round_half_up(ratio(tp, tp + fn), METRIC_DIGITS).alias("recall"),
-        round_half_up(ratio(2 * tp, 2 * tp + fp + fn), METRIC_DIGITS).alias("f1"),
-    )
+    return _from_cells(_cells(df, by), by, "precision", "recall", "f1")
 
 
 def score_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -134,9 +138,8 @@ def roc_curve(df: DataFrame, by: Sequence[str] = ("model",), per_range: int = SC
 def metrics(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """``(*by, accuracy, precision, recall, f1, roc_auc)``."""
     keys = list(by)
-    return (
-        accuracy(df, by).join(precision_recall_f1(df, by), keys).join(roc_auc(df, by), keys).select(*keys, *METRICS)
-    )
+    at_cut = _from_cells(_cells(df, by), by, "accuracy", "precision", "recall", "f1")
+    return at_cut.join(roc_auc(df, by), keys).select(*keys, *METRICS)
 
 
 def comparison(metric_rows: DataFrame, order_by: str = "f1", name: str = "model") -> DataFrame:

@@ -63,6 +63,11 @@ def fit_vocabulary(docs: DataFrame, config: FeatureConfig, terms: str = "terms")
     return kept.select("term", (place - 1).cast("int").alias("idx"), "df", "cf", idf.alias("idf"))
 
 
+def vocab_join(counts: DataFrame, vocabulary: DataFrame, id_col: str = "id") -> DataFrame:
+    """``(id, term, idx, n)`` of the known terms. The vocabulary has at most ``max_features`` rows."""
+    return counts.join(F.broadcast(vocabulary.select("term", "idx")), "term").select(id_col, "term", "idx", "n")
+
+
 def sparse_vector(size: int, indices: Column, values: Column) -> Column:
     """A vector from index and value arrays, built by the JVM."""
     body = F.struct(

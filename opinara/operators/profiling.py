@@ -113,7 +113,7 @@ def histogram(counts: DataFrame, bins: int = 50) -> DataFrame:
     )
     place = F.least(F.floor((F.col("value") - F.col("low")) / F.col("width") * bins), F.lit(bins - 1))
     filled = counts.crossJoin(F.broadcast(ends)).groupBy(place.alias("bin")).agg(F.sum("n").alias("n"))
-    every = ends.select("low", "width", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint").alias("bin"))
+    every = ends.select("low", "width", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))).alias("bin"))
 
     def edge(index: Column) -> Column:
         return round_half_up(F.col("low") + F.col("width") * index / bins, 6)

@@ -16,6 +16,9 @@ from opinara.staging import pin
 #: Hex digits per refinement step (4096 prefixes per class).
 PREFIX_DIGITS = 3
 
+#: Rows of one class that a single task may rank.
+ROWS_TO_RANK = 1_000_000
+
 
 def order_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
@@ -25,6 +28,13 @@ def class_sizes(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def measured(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
+    """Class sizes, all rows, and the refinement rounds the largest class needs."""
+    sizes = pin(class_sizes(df, label), "sizes")
+    rows, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    return sizes, rows or 0, refinements(largest or 0)
+
+
 def apportion(sizes: DataFrame, size_col: str, draws: Column, out: str) -> DataFrame:
     """Share ``draws`` rows among classes in proportion to ``size_col``, largest remainders first.
 
@@ -39,16 +49,25 @@ def apportion(sizes: DataFrame, size_col: str, draws: Column, out: str) -> DataF
     return df.withColumn(out, F.col("whole") + extra).drop("ideal", "whole")
 
 
-def cut_points(keyed: DataFrame, quotas: DataFrame) -> DataFrame:
+def refinements(largest_class: int) -> int:
+    """Rounds of prefix counts after which few enough rows share a prefix."""
+    rounds = 0
+    while largest_class > ROWS_TO_RANK:
+        largest_class //= 16**PREFIX_DIGITS
+        rounds += 1
+    return rounds
+
+
+def cut_points(keyed: DataFrame, quotas: DataFrame, rounds: int) -> DataFrame:
     """Key and id of the ``rank``-th row of each class.
 
-    ``keyed`` is ``(label, key, id)``; ``quotas`` is ``(label, cut, rank)`` with few rows. Two
-    rounds of prefix counts narrow each cut to rows that share six hex digits (one in 16.7
-    million); only those are ranked.
+    ``keyed`` is ``(label, key, id)``; ``quotas`` is ``(label, cut, rank)`` with few rows. Every
+    round counts rows per key prefix and keeps the one prefix that holds the cut, a 4096th of the
+    rows; only rows that share it are ranked.
     """
     found = quotas.where("rank > 0").select("label", "cut", "rank")
     shared: list[str] = []
-    for step in range(2):
+    for step in range(rounds):
         found = pin(found, "cuts")
         name = f"prefix{step}"
         prefix = F.substring("key", 1 + step * PREFIX_DIGITS, PREFIX_DIGITS).alias(name)
@@ -68,7 +87,7 @@ def cut_points(keyed: DataFrame, quotas: DataFrame) -> DataFrame:
 
 
 def assign_ranges(
-    df: DataFrame, quotas: DataFrame, cuts: tuple[str, ...], label: str, id_col: str, seed: int
+    df: DataFrame, quotas: DataFrame, cuts: tuple[str, ...], label: str, id_col: str, seed: int, rounds: int
 ) -> tuple[DataFrame, Column]:
     """``(df with its cut points, range name)``: the first of ``cuts`` that reaches the row.
 
@@ -78,7 +97,7 @@ def assign_ranges(
     key = order_key(id_col, seed)
     keyed = df.select(F.col(label).alias("label"), key.alias("key"), F.col(id_col).alias("id"))
     point = F.struct("cut_key", "cut_id")
-    ladder = cut_points(keyed, quotas).groupBy(F.col("label").alias("__label")).agg(
+    ladder = cut_points(keyed, quotas, rounds).groupBy(F.col("label").alias("__label")).agg(
         *[F.max(F.when(F.col("cut") == name, point)).alias(f"__{name}") for name in cuts]
     )
     joined = df.join(pin(ladder, "ladder"), df[label] == F.col("__label"), "left")
@@ -97,8 +116,7 @@ def stratified_subset(
     Each class gives ``round(n / rows * class rows)`` rows, halves to even. ``exact=False`` draws
     each row independently in one pass instead, so sizes are approximate.
     """
-    sizes = pin(class_sizes(df, label), "sizes")
-    rows = sizes.agg(F.sum("n")).first()[0] or 0
+    sizes, rows, rounds = measured(df, label)
     if n is None or n >= rows:
         return df
     share = n / rows
@@ -107,17 +125,16 @@ def stratified_subset(
     quotas = sizes.select(
         "label", F.lit("kept").alias("cut"), F.rint(F.lit(share) * F.col("n")).cast("bigint").alias("rank")
     )
-    joined, kept = assign_ranges(df, quotas, ("kept",), label, id_col, seed)
+    joined, kept = assign_ranges(df, quotas, ("kept",), label, id_col, seed, rounds)
     return joined.where(kept.isNotNull()).select(df.columns)
 
 
-def split_quotas(sizes: DataFrame, test: float, val: float) -> DataFrame:
+def split_quotas(sizes: DataFrame, rows: int, test: float, val: float) -> DataFrame:
     """Cumulative ``(label, cut, rank)``: test rows first, then val; train is the rest.
 
     ``val`` is a share of all rows. Held-out sizes are rounded up, and classes share the rows that
     stay by largest remainder.
     """
-    rows = sizes.agg(F.sum("n")).first()[0] or 0
     rest = rows - math.ceil(test * rows)
     train = rest - math.ceil(val / (1 - test) * rest)
     quotas = apportion(sizes, "n", F.lit(rest), "rest")
@@ -136,18 +153,19 @@ def stratified_split(
     df: DataFrame, test: float = 0.15, val: float = 0.15, label: str = "sentiment", id_col: str = "id", seed: int = 42
 ) -> DataFrame:
     """Add ``split``: train, val or test, every class in proportion."""
-    sizes = pin(class_sizes(df, label), "sizes")
-    joined, held_out = assign_ranges(df, split_quotas(sizes, test, val), ("test", "val"), label, id_col, seed)
+    sizes, rows, rounds = measured(df, label)
+    quotas = split_quotas(sizes, rows, test, val)
+    joined, held_out = assign_ranges(df, quotas, ("test", "val"), label, id_col, seed, rounds)
     return joined.select(*df.columns, F.coalesce(held_out, F.lit("train")).alias("split"))
 
 
 def stratified_folds(df: DataFrame, folds: int, label: str = "label", id_col: str = "id", seed: int = 42) -> DataFrame:
     """Add ``fold`` (0-based), every class spread evenly over the folds."""
-    sizes = pin(class_sizes(df, label), "sizes")
+    sizes, _, rounds = measured(df, label)
     names = tuple(str(i) for i in range(folds - 1))
     steps = [(F.lit(i), F.ceil(F.col("n") * (int(i) + 1) / folds)) for i in names]
     quotas = sizes.select("label", F.stack(F.lit(len(steps)), *[c for s in steps for c in s]).alias("cut", "rank"))
-    joined, fold = assign_ranges(df, quotas, names, label, id_col, seed)
+    joined, fold = assign_ranges(df, quotas, names, label, id_col, seed, rounds)
     return joined.select(*df.columns, F.coalesce(fold, F.lit(str(folds - 1))).cast("int").alias("fold"))
 
 
