@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from opinara.config import CleaningConfig, FeatureConfig, TrainingConfig
 from opinara.functions import text as x
+from opinara.functions.rows import element_rows
 from opinara.functions.numeric import round_half_up
 from opinara.functions.tokens import char_wb_ngrams, with_terms, word_ngrams, word_tokens
 from opinara.operators import evaluation as ev
@@ -72,7 +73,7 @@ def loaded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    return src.spread(table(spark, folder, "documents")).select(F.col("doc_id").alias("id"), "text")
 
 
 def splits(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,7 +149,7 @@ def _documents_with(step: Callable[[Column], Column]) -> Query:
 
 def _pages_with(step: Callable[[Column], Column]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return table(spark, folder, "pages").select("page_id", step(F.col("html")).alias("text"))
+        return src.spread(table(spark, folder, "pages")).select("page_id", step(F.col("html")).alias("text"))
 
     return run
 
@@ -209,7 +210,7 @@ def lexicon_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stopword_antijoin_terms(spark: SparkSession, folder: str) -> DataFrame:
-    words = documents(spark, folder).select(F.explode(x.split_words(F.lower("text"))).alias("term"))
+    words = element_rows(documents(spark, folder), x.split_words(F.lower("text")), "term")
     return stopword_antijoin(words.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -694,13 +695,13 @@ def predict_with_model(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def predict_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return predict_batch(table(spark, folder, "conversations"), _bayes_scorer(spark, folder), "text")
+    return predict_batch(src.spread(table(spark, folder, "conversations")), _bayes_scorer(spark, folder), "text")
 
 
 @query
 def confidence(spark: SparkSession, folder: str) -> DataFrame:
     """Probability of *positive*, and of the label given."""
-    scored = score(table(spark, folder, "conversations"), _bayes_scorer(spark, folder), "text")
+    scored = score(src.spread(table(spark, folder, "conversations")), _bayes_scorer(spark, folder), "text")
     shown = F.when(F.col("predicted_label") == "positive", F.col("confidence")).otherwise(1.0 - F.col("confidence"))
     return scored.select("conv_id", "turn", "confidence", round_half_up(shown, 4).alias("label_confidence"))
 

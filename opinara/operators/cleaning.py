@@ -8,6 +8,7 @@ from opinara.config import CleaningConfig
 from opinara.functions.text import clean_expr, wants_lemmas
 from opinara.functions.wordlists import CLEANER_STOPWORDS
 from opinara.operators.lemmas import corpus_lexicon, lemma_table, lemmatize, term_frequencies
+from opinara.staging import stage
 
 
 def clean_table(
@@ -27,6 +28,8 @@ def clean_table(
     df = df.withColumn(output_column, clean_expr(F.col(text_column).cast("string"), config))
     if not wants_lemmas(config):
         return df
+    # The lexicon, the term table and the replacement all read the cleaned words.
+    df = stage(df, "words")
     if lexicon is None:
         lexicon = corpus_lexicon(df, output_column)
     lemmas = lemma_table(term_frequencies(df, output_column), lexicon, exceptions)

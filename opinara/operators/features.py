@@ -14,12 +14,13 @@ from pyspark.ml.linalg import DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from opinara.config import FeatureConfig
+from opinara.functions.rows import element_rows, struct_rows
 from opinara.functions.tokens import with_terms
 
 
 def term_counts(docs: DataFrame, terms: str = "terms", id_col: str = "id") -> DataFrame:
     """``(id, term, n)``."""
-    exploded = docs.select(id_col, F.explode(terms).alias("term"))
+    exploded = element_rows(docs, F.col(terms), "term", id_col)
     return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -32,10 +33,8 @@ def term_statistics(docs: DataFrame, terms: str = "terms") -> DataFrame:
     """
     plain = F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
     marked = F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
-    rows = docs.select(F.explode(F.concat(plain, marked)).alias("t"))
-    return rows.groupBy(F.col("t.term").alias("term")).agg(
-        F.sum("t.first").alias("df"), F.sum(1 - F.col("t.first")).alias("cf")
-    )
+    rows = struct_rows(docs, F.concat(plain, marked), required="first")
+    return rows.groupBy("term").agg(F.sum("first").alias("df"), F.sum(1 - F.col("first")).alias("cf"))
 
 
 def _df_bound(limit: int | float, n_docs: Column) -> Column:
@@ -151,9 +150,8 @@ class TermModel:
 def vector_entries(df: DataFrame, *keep: str, vector: str = "features") -> DataFrame:
     """One row per non-zero entry: ``(*keep, idx, weight)``."""
     parts = F.unwrap_udt(vector)
-    return df.select(
-        *keep, F.inline(F.arrays_zip(parts["indices"].alias("idx"), parts["values"].alias("weight")))
-    )
+    pairs = F.arrays_zip(parts["indices"].alias("idx"), parts["values"].alias("weight"))
+    return struct_rows(df, pairs, *keep, required="idx")
 
 
 def write_settings(spark: SparkSession, settings: dict, path: str) -> None:

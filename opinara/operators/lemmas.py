@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from opinara.functions.rows import element_rows, struct_rows
 from opinara.functions.text import split_words
 from opinara.staging import PINNED_ROWS, pin, stage
 
@@ -60,12 +61,12 @@ def candidates(term: Column) -> Column:
 
 def corpus_lexicon(df: DataFrame, text: str, min_docs: int = 2) -> DataFrame:
     """``(form)``: terms of the corpus found in at least ``min_docs`` rows."""
-    terms = df.select(F.explode(F.array_distinct(split_words(F.col(text)))).alias("form"))
+    terms = element_rows(df, F.array_distinct(split_words(F.col(text))), "form")
     return terms.groupBy("form").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("form")
 
 
 def term_frequencies(df: DataFrame, text: str) -> DataFrame:
-    tokens = df.select(F.explode(split_words(F.col(text))).alias("term"))
+    tokens = element_rows(df, split_words(F.col(text)), "term")
     return tokens.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -86,7 +87,7 @@ def lemma_table(terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame | No
         listed = listed_terms.select("term", "n", round_one, F.lit(0).alias("place"), F.col("term").alias("form")).union(
             listed_terms.join(irregular, "term").select("term", "n", round_one, F.lit(1).alias("place"), "form")
         )
-    reached = by_rule.select("term", "n", F.inline(candidates(F.col("term"))))
+    reached = struct_rows(by_rule, candidates(F.col("term")), "term", "n", required="form")
     if listed is not None:
         reached = reached.unionByName(listed)
     known = reached.join(lexicon.select("form").distinct(), "form", "left_semi")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from opinara.functions.numeric import round_half_up
+from opinara.functions.rows import element_rows
 from opinara.functions.text import split_words
 from opinara.functions.tokens import without_stopwords, word_ngrams, word_tokens
 from opinara.functions.wordlists import COUNTER_STOPWORDS
@@ -164,12 +165,12 @@ def _most_frequent(terms: DataFrame, k: int) -> DataFrame:
 
 def top_words(df: DataFrame, text: str = "clean_review", k: int = 25) -> DataFrame:
     """``(term, n)``: the ``k`` most frequent words, equal counts alphabetically."""
-    return _most_frequent(counted_tokens(df, text).select(F.explode("tokens").alias("term")), k)
+    return _most_frequent(element_rows(counted_tokens(df, text), F.col("tokens"), "term"), k)
 
 
 def top_ngrams(df: DataFrame, text: str = "clean_review", low: int = 2, high: int = 3, k: int = 20) -> DataFrame:
     """As ``top_words`` for n-grams over the words left after stop words are gone."""
-    grams = counted_tokens(df, text).select(F.explode(word_ngrams(F.col("tokens"), low, high)).alias("term"))
+    grams = element_rows(counted_tokens(df, text), word_ngrams(F.col("tokens"), low, high), "term")
     return _most_frequent(grams, k)
 
 
@@ -179,7 +180,7 @@ def class_term_freq(df: DataFrame, text: str = "clean_review", label: str = "sen
     The rank filter is applied per task before the shuffle on the label.
     """
     labelled = df.where(F.col(label).isNotNull())
-    tokens = counted_tokens(labelled, text).select(label, F.explode("tokens").alias("term"))
+    tokens = element_rows(counted_tokens(labelled, text), F.col("tokens"), "term", label)
     counts = tokens.groupBy(label, "term").agg(F.count(F.lit(1)).alias("n"))
     order = W.partitionBy(label).orderBy(F.desc("n"), "term")
     top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)

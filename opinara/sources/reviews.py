@@ -16,6 +16,16 @@ NA_TOKENS = (
 POSITION = "__position"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to every core if it has fewer partitions than there are cores.
+
+    A scan of one small file is one task, and the text work that follows would run in it. A scan
+    with enough partitions, as any large table has, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_table(
     spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = True, na_to_null: bool = True
 ) -> DataFrame:
@@ -109,6 +119,7 @@ def load_reviews(
 
 def raw_reviews(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Bind a document table and its quality labels to ``(id, review, sentiment)``."""
+    documents = spread(documents)
     quality = labels.select("doc_id", "quality")
     return documents.select("doc_id", "text").join(quality, "doc_id", "left").select(
         F.col("doc_id").alias("id"),
