@@ -7,7 +7,9 @@ empty vector.
 
 from __future__ import annotations
 
+import json
 from dataclasses import asdict, dataclass
+from functools import lru_cache
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import DenseVector, VectorUDT
@@ -92,6 +94,12 @@ def dot(df: DataFrame, weights: list[float] | tuple[float, ...], vector: str, ou
     return scaled(df, weights, vector, "__product").select(*names, total.alias(out))
 
 
+@lru_cache(maxsize=8)
+def _counter(vocabulary: tuple[str, ...], application: str) -> CountVectorizerModel:
+    """Terms to counts. Handing a vocabulary to the JVM takes seconds, so recent ones are kept."""
+    return CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol="__terms", outputCol="__counts")
+
+
 @dataclass(frozen=True)
 class TermModel:
     config: FeatureConfig
@@ -111,7 +119,7 @@ class TermModel:
         names = df.columns
         size = len(self.vocabulary)
         df = with_terms(df, text, self.config, "__terms")
-        counter = CountVectorizerModel.from_vocabulary(list(self.vocabulary), inputCol="__terms", outputCol="__counts")
+        counter = _counter(self.vocabulary, df.sparkSession.sparkContext.applicationId)
         df = counter.transform(df).drop("__terms")
         if self.config.strategy == "count":
             return df.select(*names, F.col("__counts").alias(out))
@@ -156,14 +164,10 @@ def vector_entries(df: DataFrame, *keep: str, vector: str = "features") -> DataF
 
 def write_settings(spark: SparkSession, settings: dict, path: str) -> None:
     """A one-row JSON table; plain values keep their types."""
-    import json
-
     spark.createDataFrame([(json.dumps(settings, sort_keys=True),)], "value string").coalesce(1).write.mode(
         "overwrite"
     ).text(path)
 
 
 def read_settings(spark: SparkSession, path: str) -> dict:
-    import json
-
     return json.loads(spark.read.text(path).first()[0])
