@@ -20,12 +20,12 @@ HEADLINE = (
     "top_words",
     "top_ngrams",
     "char_ngram_statistics",
-    "stratified_split_rows",
+    "stratified_split",
     "tfidf_features",
     "multinomial_nb",
     "logistic_regression",
     "roc_auc",
-    "predict_texts",
+    "predict_batch",
 )
 
 

@@ -498,8 +498,8 @@ _SELECTS: dict[str, str] = {
   SELECT *, row_number() OVER (PARTITION BY review ORDER BY id) AS copy FROM raw_reviews) WHERE copy = 1""",
     "load_audit": """SELECT b.n AS rows_before, a.n AS rows_after, b.n - a.n AS rows_dropped
 FROM (SELECT count(*) AS n FROM raw_reviews) b, (SELECT count(*) AS n FROM reviews) a""",
-    "write_split_table": "SELECT id, review, sentiment, split FROM splits",
-    "load_test_split": "SELECT id, review, sentiment, split FROM splits WHERE split = 'test'",
+    "write_splits": "SELECT id, review, sentiment, split FROM splits",
+    "load_splits": "SELECT id, review, sentiment, split FROM splits WHERE split = 'test'",
     "strip_html": f"SELECT page_id, {replaced('html', x.TAG_PATTERN)} AS text FROM pages",
     "strip_urls": f"SELECT page_id, {replaced('html', x.URL_PATTERN)} AS text FROM pages",
     "lowercase_text": "SELECT doc_id AS id, lower(text) AS text FROM documents",
@@ -515,21 +515,21 @@ FROM (SELECT count(*) AS n FROM raw_reviews) b, (SELECT count(*) AS n FROM revie
     "clean_minimal": f"SELECT page_id, {minimal('html')} AS text FROM pages",
     "clean_standard": "SELECT id, text AS clean_review FROM plain_lemmatized",
     "clean_aggressive": "SELECT id, text AS clean_review FROM terse_lemmatized",
-    "clean_reviews": "SELECT id, review, sentiment, clean_review FROM clean_reviews",
-    "empty_after_cleaning": """SELECT count(*) AS n_rows, count(*) FILTER (trim(clean_review) = '') AS n_empty
+    "clean_table": "SELECT id, review, sentiment, clean_review FROM clean_reviews",
+    "empty_after_clean": """SELECT count(*) AS n_rows, count(*) FILTER (trim(clean_review) = '') AS n_empty
 FROM clean_reviews""",
     "lemmatize_tokens": "SELECT term, lemma, n FROM plain_lemmas",
     "lexicon_join": """SELECT coalesce(l.lemma, t.term) AS lemma, CAST(sum(t.n) AS BIGINT) AS n, count(*) AS n_forms
 FROM (SELECT term, count(*) AS n FROM plain_words GROUP BY term) t LEFT JOIN plain_lemmas l ON t.term = l.term
 GROUP BY 1""",
-    "stopword_antijoin_terms": f"""SELECT term, count(*) AS n
+    "stopword_antijoin": f"""SELECT term, count(*) AS n
 FROM (SELECT unnest({words_of('lower(text)')}) AS term FROM documents)
 WHERE NOT list_contains({listed(CLEANER_STOPWORDS)}, term) GROUP BY term""",
     "label_encode": """SELECT id, sentiment,
        CASE sentiment WHEN 'positive' THEN 1.0::DOUBLE WHEN 'negative' THEN 0.0::DOUBLE END AS label FROM raw_reviews""",
     "label_decode": """SELECT doc_id, quality, CASE quality WHEN 1 THEN 'positive' WHEN 0 THEN 'negative' END AS sentiment
 FROM labels""",
-    "vocabulary_join": """SELECT c.id, c.term, v.idx, c.n FROM nb_counts c JOIN nb_vocabulary v ON c.term = v.term
+    "vocab_join": """SELECT c.id, c.term, v.idx, c.n FROM nb_counts c JOIN nb_vocabulary v ON c.term = v.term
 JOIN cleaned d ON c.id = d.id WHERE d.split = 'test'""",
     "top_words": frequent("t", "clean_documents", PROFILE.top_n_words),
     "top_ngrams": frequent(ngrams_of("t", LOW, HIGH), "clean_documents", PROFILE.top_n_ngrams),
@@ -537,31 +537,31 @@ JOIN cleaned d ON c.id = d.id WHERE d.split = 'test'""",
 FROM (SELECT doc_id, {without(tokens_of('text'), COUNTER_STOPWORDS)} AS t FROM documents)""",
     "class_term_freq": class_terms("clean_reviews"),
     "split_inspection": INSPECTION,
-    "profile_sections": tidy_report("train_reviews"),
-    "profile_sink": tidy_report("train_reviews"),
-    "stratified_rows": _SUBSET,
-    "stratified_split_rows": "SELECT id, sentiment, split FROM splits",
-    "random_reviews": sampled("raw_reviews"),
-    "word_token_lists": listing(tokens_of("text")),
-    "word_ngram_lists": listing(tokens_of("text"), ngrams_of("t", 1, 3)),
-    "char_ngram_lists": listing(char_ngrams_of("text")),
+    "profile_report": tidy_report("train_reviews"),
+    "eda_sink": tidy_report("train_reviews"),
+    "stratified_subset": _SUBSET,
+    "stratified_split": "SELECT id, sentiment, split FROM splits",
+    "sample_reviews": sampled("raw_reviews"),
+    "word_tokens": listing(tokens_of("text")),
+    "word_ngrams": listing(tokens_of("text"), ngrams_of("t", 1, 3)),
+    "char_wb_ngrams": listing(char_ngrams_of("text")),
     "char_ngram_statistics": "SELECT term, count(*) AS df, CAST(sum(n) AS BIGINT) AS cf FROM char_counts GROUP BY term",
     "count_features": "SELECT id, term, n FROM uni_counts",
-    "vocabulary_fit": f"SELECT term, idx, df, cf, {_IDF} AS idf FROM doc_vocabulary",
-    "vocabulary_cap": f"SELECT term, idx, df, cf, {_IDF} AS idf FROM cap_vocabulary",
+    "vocab_fit": f"SELECT term, idx, df, cf, {_IDF} AS idf FROM doc_vocabulary",
+    "vocab_cap": f"SELECT term, idx, df, cf, {_IDF} AS idf FROM cap_vocabulary",
     "tfidf_features": f"SELECT id, term, {_WEIGHT} AS weight FROM doc_weights",
     "tfidf_without_sublinear": f"SELECT id, term, {_WEIGHT} AS weight FROM raw_weights",
     "sublinear_tf": f"""SELECT id, count(*) AS n_terms, {rounded('sum(1.0 + ln(n))', 6)} AS damped
 FROM raw_counts GROUP BY id""",
     "tfidf_char_features": f"""SELECT id, count(*) AS n_terms, {rounded('sum(weight)', 6)} AS total
 FROM char_weights GROUP BY id""",
-    "l2_norms": f"""SELECT t.id, {rounded('sqrt(coalesce(sum(w.weight * w.weight), 0))', 6)} AS norm
+    "l2_normalize": f"""SELECT t.id, {rounded('sqrt(coalesce(sum(w.weight * w.weight), 0))', 6)} AS norm
 FROM texts t LEFT JOIN doc_weights w ON t.id = w.id GROUP BY t.id""",
     "transform_split": f"""SELECT c.id, c.split, count(w.term) AS n_terms, {rounded('coalesce(sum(w.weight), 0)', 6)} AS total
 FROM cleaned c LEFT JOIN nb_weights w ON c.id = w.id WHERE c.split <> 'train' GROUP BY c.id, c.split""",
     "feature_vectors": f"""SELECT w.id, c.split, w.idx, {rounded('w.weight', 6)} AS weight
 FROM nb_weights w JOIN cleaned c ON w.id = c.id""",
-    "class_weight_table": f"""SELECT label, n, {rounded('(CAST(total AS DOUBLE) / (classes * n))', 6)} AS weight
+    "class_weights": f"""SELECT label, n, {rounded('(CAST(total AS DOUBLE) / (classes * n))', 6)} AS weight
 FROM (SELECT CASE sentiment WHEN 'positive' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, n,
              sum(n) OVER () AS total, count(*) OVER () AS classes FROM class_sizes)""",
     "multinomial_nb": f"""SELECT id, label, CAST({rounded('margin', 9)} > 0 AS DOUBLE) AS prediction,
@@ -585,18 +585,18 @@ ORDER BY accuracy DESC NULLS LAST, list_position(['weighted', 'tfidf', 'count'],
     "metrics_sink": f"SELECT {_METRIC_COLUMNS} FROM metrics WHERE split = 'test' AND cut = 'median'",
     "attach_predictions": f"""SELECT d.doc_id AS id, d.lang, d.source, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence
 FROM documents d JOIN all_scored s ON d.doc_id = s.id""",
-    "score_stored_table": f"""SELECT d.doc_id, d.source, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence
+    "score_table": f"""SELECT d.doc_id, d.source, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence
 FROM documents d JOIN all_scored s ON d.doc_id = s.id""",
-    "saved_model": f"""SELECT h.id, r.sentiment, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence
+    "write_model": f"""SELECT h.id, r.sentiment, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence
 FROM held_out h JOIN splits r ON h.id = r.id""",
     "predict_with_model": f"""SELECT md5(r.review) AS text_digest, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence,
        'multinomial_nb' AS model_used FROM held_out h JOIN splits r ON h.id = r.id""",
-    "predict_texts": f"""SELECT text, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence,
+    "predict_batch": f"""SELECT text, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence,
        'multinomial_nb' AS model_used FROM talk_scored""",
     "confidence": f"""SELECT conv_id, turn, confidence,
        {rounded("(CASE WHEN predicted_label = 'positive' THEN confidence ELSE 1.0 - confidence END)", 4)} AS label_confidence
 FROM (SELECT conv_id, turn, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence FROM talk_scored)""",
-    "preview_rows": f"""SELECT id, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence
+    "preview": f"""SELECT id, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence
 FROM all_scored ORDER BY id LIMIT 10""",
     "score_stream": f"""SELECT conv_id, turn, {_LABEL} AS predicted_label, {_CONFIDENCE} AS confidence FROM talk_scored""",
 }

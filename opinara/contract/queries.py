@@ -55,9 +55,12 @@ BAYES = TrainingConfig(cleaning=PLAIN, active_models=("multinomial_nb",))
 SUBSET_ROWS = 200
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+
+    return register
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -93,30 +96,30 @@ def _plain(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------------ sources
 
 
-@query
+@query("load_reviews")
 def load_reviews(spark: SparkSession, folder: str) -> DataFrame:
     path = staging_path(spark, "reviews-csv")
     write_result(raw(spark, folder), path, "csv")
     return src.load_reviews(spark, path, "csv", id_col="id").select("id", "review", "sentiment")
 
 
-@query
+@query("normalize_columns")
 def normalize_columns(spark: SparkSession, folder: str) -> DataFrame:
     odd = raw(spark, folder).toDF("ID", " Review ", "SENTIMENT")
     return src.normalize_columns(odd)
 
 
-@query
+@query("drop_missing")
 def drop_missing(spark: SparkSession, folder: str) -> DataFrame:
     return src.drop_missing(raw(spark, folder))
 
 
-@query
+@query("dedupe_reviews")
 def dedupe_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return src.dedupe_reviews(raw(spark, folder))
 
 
-@query
+@query("load_audit")
 def load_audit(spark: SparkSession, folder: str) -> DataFrame:
     return src.load_audit(raw(spark, folder), loaded(spark, folder))
 
@@ -127,12 +130,12 @@ def _written_splits(spark: SparkSession, folder: str) -> str:
     return path
 
 
-@query
+@query("write_splits")
 def write_split_table(spark: SparkSession, folder: str) -> DataFrame:
     return load_splits(spark, _written_splits(spark, folder)).select("id", "review", "sentiment", "split")
 
 
-@query
+@query("load_splits")
 def load_test_split(spark: SparkSession, folder: str) -> DataFrame:
     return load_splits(spark, _written_splits(spark, folder), "test").select("id", "review", "sentiment", "split")
 
@@ -167,28 +170,28 @@ QUERIES["drop_short_tokens"] = _documents_with(lambda t: F.array_join(x.drop_sho
 QUERIES["clean_minimal"] = _pages_with(lambda t: x.clean_expr(t, CleaningConfig(strategy="minimal")))
 
 
-@query
+@query("clean_standard")
 def clean_standard(spark: SparkSession, folder: str) -> DataFrame:
     return clean_table(documents(spark, folder), CleaningConfig(), "text").select("id", "clean_review")
 
 
-@query
+@query("clean_aggressive")
 def clean_aggressive(spark: SparkSession, folder: str) -> DataFrame:
     config = CleaningConfig(strategy="aggressive")
     return clean_table(documents(spark, folder), config, "text").select("id", "clean_review")
 
 
-@query
+@query("clean_table")
 def clean_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return clean_table(raw(spark, folder), PLAIN)
 
 
-@query
+@query("empty_after_clean")
 def empty_after_cleaning(spark: SparkSession, folder: str) -> DataFrame:
     return empty_after_clean(clean_table(raw(spark, folder), PLAIN))
 
 
-@query
+@query("lemmatize_tokens")
 def lemmatize_tokens(spark: SparkSession, folder: str) -> DataFrame:
     words = _plain(spark, folder)
     return lemma_table(term_frequencies(words, "text"), corpus_lexicon(words, "text"))
@@ -197,7 +200,7 @@ def lemmatize_tokens(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------------ joins
 
 
-@query
+@query("lexicon_join")
 def lexicon_join(spark: SparkSession, folder: str) -> DataFrame:
     words = _plain(spark, folder)
     terms = term_frequencies(words, "text")
@@ -208,25 +211,25 @@ def lexicon_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("stopword_antijoin")
 def stopword_antijoin_terms(spark: SparkSession, folder: str) -> DataFrame:
     words = element_rows(documents(spark, folder), x.split_words(F.lower("text")), "term")
     return stopword_antijoin(words.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
 
 
-@query
+@query("label_encode")
 def label_encode(spark: SparkSession, folder: str) -> DataFrame:
     return raw(spark, folder).select("id", "sentiment", encode_label(F.col("sentiment")).alias("label"))
 
 
-@query
+@query("label_decode")
 def label_decode(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "labels").select(
         "doc_id", "quality", decode_label(F.col("quality")).alias("sentiment")
     )
 
 
-@query
+@query("vocab_join")
 def vocabulary_join(spark: SparkSession, folder: str) -> DataFrame:
     """Known terms of held-out rows, with the vocabulary of the training rows."""
     rows = with_terms(cleaned(spark, folder), "clean_review", WORDS)
@@ -237,52 +240,52 @@ def vocabulary_join(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------------ profile
 
 
-@query
+@query("dataset_overview")
 def dataset_overview(spark: SparkSession, folder: str) -> DataFrame:
     return p.dataset_overview(raw(spark, folder))
 
 
-@query
+@query("missing_values")
 def missing_values(spark: SparkSession, folder: str) -> DataFrame:
     return p.missing_values(raw(spark, folder))
 
 
-@query
+@query("duplicate_stats")
 def duplicate_stats(spark: SparkSession, folder: str) -> DataFrame:
     return p.duplicate_stats(raw(spark, folder))
 
 
-@query
+@query("label_distribution")
 def label_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return p.label_distribution(raw(spark, folder))
 
 
-@query
+@query("char_length_stats")
 def char_length_stats(spark: SparkSession, folder: str) -> DataFrame:
     return p.char_length_stats(raw(spark, folder))
 
 
-@query
+@query("word_count_stats")
 def word_count_stats(spark: SparkSession, folder: str) -> DataFrame:
     return p.word_count_stats(raw(spark, folder))
 
 
-@query
+@query("length_histogram")
 def length_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return p.length_histogram(raw(spark, folder))
 
 
-@query
+@query("word_histogram")
 def word_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return p.word_histogram(raw(spark, folder))
 
 
-@query
+@query("classwise_word_stats")
 def classwise_word_stats(spark: SparkSession, folder: str) -> DataFrame:
     return p.classwise_word_stats(raw(spark, folder))
 
 
-@query
+@query("classwise_boxplot")
 def classwise_boxplot(spark: SparkSession, folder: str) -> DataFrame:
     return p.classwise_boxplot(raw(spark, folder))
 
@@ -291,29 +294,29 @@ def _clean_documents(spark: SparkSession, folder: str) -> DataFrame:
     return clean_table(documents(spark, folder), PLAIN, "text")
 
 
-@query
+@query("top_words")
 def top_words(spark: SparkSession, folder: str) -> DataFrame:
     return p.top_words(_clean_documents(spark, folder))
 
 
-@query
+@query("top_ngrams")
 def top_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     return p.top_ngrams(_clean_documents(spark, folder))
 
 
-@query
+@query("ngram_stopwords")
 def ngram_stopwords(spark: SparkSession, folder: str) -> DataFrame:
     """The counter's own stop list over raw text."""
     tokens = p.counted_tokens(documents(spark, folder), "text")
     return tokens.select("id", F.size("tokens").cast("bigint").alias("n"), F.array_join("tokens", " ").alias("tokens"))
 
 
-@query
+@query("class_term_freq")
 def class_term_freq(spark: SparkSession, folder: str) -> DataFrame:
     return p.class_term_freq(clean_table(raw(spark, folder), PLAIN))
 
 
-@query
+@query("split_inspection")
 def split_inspection(spark: SparkSession, folder: str) -> DataFrame:
     return p.split_inspection(splits(spark, folder))
 
@@ -325,12 +328,12 @@ def _report(spark: SparkSession, folder: str) -> DataFrame:
     return profile_report(profile(train_rows, clean, rows))
 
 
-@query
+@query("profile_report")
 def profile_sections(spark: SparkSession, folder: str) -> DataFrame:
     return _report(spark, folder)
 
 
-@query
+@query("eda_sink")
 def profile_sink(spark: SparkSession, folder: str) -> DataFrame:
     path = staging_path(spark, "profile")
     report = _report(spark, folder)
@@ -341,17 +344,17 @@ def profile_sink(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------------ sampling
 
 
-@query
+@query("stratified_subset")
 def stratified_rows(spark: SparkSession, folder: str) -> DataFrame:
     return stratified_subset(stage(loaded(spark, folder), "reviews"), SUBSET_ROWS).select("id", "sentiment")
 
 
-@query
+@query("stratified_split")
 def stratified_split_rows(spark: SparkSession, folder: str) -> DataFrame:
     return stratified_split(stage(loaded(spark, folder), "reviews")).select("id", "sentiment", "split")
 
 
-@query
+@query("sample_reviews")
 def random_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return sample_reviews(raw(spark, folder))
 
@@ -366,28 +369,28 @@ def _listing(df: DataFrame) -> DataFrame:
     )
 
 
-@query
+@query("word_tokens")
 def word_token_lists(spark: SparkSession, folder: str) -> DataFrame:
     return _listing(documents(spark, folder).select("id", word_tokens(F.col("text")).alias("terms")))
 
 
-@query
+@query("word_ngrams")
 def word_ngram_lists(spark: SparkSession, folder: str) -> DataFrame:
     tokens = documents(spark, folder).select("id", word_tokens(F.col("text")).alias("tokens"))
     return _listing(tokens.select("id", word_ngrams(F.col("tokens"), 1, 3).alias("terms")))
 
 
-@query
+@query("char_wb_ngrams")
 def char_ngram_lists(spark: SparkSession, folder: str) -> DataFrame:
     return _listing(documents(spark, folder).select("id", char_wb_ngrams(F.col("text")).alias("terms")))
 
 
-@query
+@query("char_ngram_statistics")
 def char_ngram_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return term_statistics(with_terms(documents(spark, folder), "text", CHARS))
 
 
-@query
+@query("count_features")
 def count_features(spark: SparkSession, folder: str) -> DataFrame:
     return term_counts(with_terms(_clean_documents(spark, folder), "clean_review", FeatureConfig(ngram_range=(1, 1))))
 
@@ -396,12 +399,12 @@ def _rounded_vocabulary(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.withColumn("idf", round_half_up(F.col("idf"), 6))
 
 
-@query
+@query("vocab_fit")
 def vocabulary_fit(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_vocabulary(fit_vocabulary(with_terms(documents(spark, folder), "text", WORDS), WORDS))
 
 
-@query
+@query("vocab_cap")
 def vocabulary_cap(spark: SparkSession, folder: str) -> DataFrame:
     """A cap that bites at every scale."""
     config = FeatureConfig(max_features=500)
@@ -414,17 +417,17 @@ def _weights(spark: SparkSession, folder: str, config: FeatureConfig) -> DataFra
     return found.select("id", "term", round_half_up(F.col("weight"), 6).alias("weight"))
 
 
-@query
+@query("tfidf_features")
 def tfidf_features(spark: SparkSession, folder: str) -> DataFrame:
     return _weights(spark, folder, WORDS)
 
 
-@query
+@query("tfidf_without_sublinear")
 def tfidf_without_sublinear(spark: SparkSession, folder: str) -> DataFrame:
     return _weights(spark, folder, FeatureConfig(ngram_range=(1, 1), sublinear_tf=False))
 
 
-@query
+@query("sublinear_tf")
 def sublinear_tf(spark: SparkSession, folder: str) -> DataFrame:
     counts = term_counts(with_terms(documents(spark, folder), "text", FeatureConfig(ngram_range=(1, 1))))
     return counts.groupBy("id").agg(
@@ -432,7 +435,7 @@ def sublinear_tf(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("tfidf_char_features")
 def tfidf_char_features(spark: SparkSession, folder: str) -> DataFrame:
     rows = documents(spark, folder)
     entries = vector_entries(TermModel.fit(rows, CHARS, "text").transform(rows, "text"), "id")
@@ -441,7 +444,7 @@ def tfidf_char_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("l2_normalize")
 def l2_norms(spark: SparkSession, folder: str) -> DataFrame:
     """Norm of every row, rows without known terms included."""
     rows = documents(spark, folder)
@@ -451,7 +454,7 @@ def l2_norms(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.select("id", round_half_up(F.sqrt(total), 6).alias("norm"))
 
 
-@query
+@query("transform_split")
 def transform_split(spark: SparkSession, folder: str) -> DataFrame:
     """Held-out rows under a model of the training rows; empty rows survive."""
     terms, features = feature_table(cleaned(spark, folder), BAYES)
@@ -462,7 +465,7 @@ def transform_split(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("feature_vectors")
 def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Entries of the vectors models are fitted on."""
     terms, features = feature_table(cleaned(spark, folder), BAYES)
@@ -474,7 +477,7 @@ def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------------ models
 
 
-@query
+@query("class_weights")
 def class_weight_table(spark: SparkSession, folder: str) -> DataFrame:
     rows = loaded(spark, folder).select(encode_label(F.col("sentiment")).alias("label"))
     return class_weights(rows).withColumn("weight", round_half_up(F.col("weight"), 6))
@@ -510,7 +513,7 @@ QUERIES["random_forest"] = _held_out_scores("random_forest")
 QUERIES["sgd_linear"] = _held_out_scores("sgd_linear")
 
 
-@query
+@query("train_all")
 def train_models(spark: SparkSession, folder: str) -> DataFrame:
     config = TrainingConfig(cleaning=PLAIN)
     terms, features = feature_table(cleaned(spark, folder), config)
@@ -519,7 +522,7 @@ def train_models(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("score", round_half_up(F.col("score"), 6))
 
 
-@query
+@query("train_job")
 def train_job(spark: SparkSession, folder: str) -> DataFrame:
     """The default job, lemmas included, with its champion marked."""
     trained = train(splits(spark, folder))
@@ -572,33 +575,33 @@ def graded(spark: SparkSession, folder: str) -> DataFrame:
 GRID = ("variant", "split", "cut")
 
 
-@query
+@query("confusion_matrix")
 def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return ev.confusion_matrix(graded(spark, folder), GRID)
 
 
-@query
+@query("accuracy")
 def accuracy(spark: SparkSession, folder: str) -> DataFrame:
     return ev.accuracy(graded(spark, folder), GRID)
 
 
-@query
+@query("precision_recall_f1")
 def precision_recall_f1(spark: SparkSession, folder: str) -> DataFrame:
     return ev.precision_recall_f1(graded(spark, folder), GRID)
 
 
-@query
+@query("roc_auc")
 def roc_auc(spark: SparkSession, folder: str) -> DataFrame:
     return ev.roc_auc(_variants(spark, folder), ("variant", "split"))
 
 
-@query
+@query("roc_curve")
 def roc_curve(spark: SparkSession, folder: str) -> DataFrame:
     points = ev.roc_curve(_variants(spark, folder), ("variant", "split"))
     return points.select("variant", "split", *[round_half_up(F.col(c), 6).alias(c) for c in ("threshold", "fpr", "tpr")])
 
 
-@query
+@query("score_column")
 def score_column(spark: SparkSession, folder: str) -> DataFrame:
     """Probability of the positive class of every held-out row."""
     probability = 1.0 / (1.0 + F.exp(-F.col("margin")))
@@ -610,22 +613,22 @@ def _grid_metrics(spark: SparkSession, folder: str, split: str, cut: str) -> Dat
     return ev.metrics(rows.withColumnRenamed("variant", "model"))
 
 
-@query
+@query("comparison_table")
 def comparison_table(spark: SparkSession, folder: str) -> DataFrame:
     return ev.comparison(_grid_metrics(spark, folder, "val", "median"))
 
 
-@query
+@query("model_comparison")
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return ev.comparison(_grid_metrics(spark, folder, "test", "zero"))
 
 
-@query
+@query("select_best")
 def select_best(spark: SparkSession, folder: str) -> DataFrame:
     return ev.select_best(_grid_metrics(spark, folder, "val", "median"), "accuracy", ("weighted", "tfidf", "count"))
 
 
-@query
+@query("metrics_sink")
 def metrics_sink(spark: SparkSession, folder: str) -> DataFrame:
     rows = _grid_metrics(spark, folder, "test", "median")
     path = staging_path(spark, "metrics")
@@ -633,7 +636,7 @@ def metrics_sink(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(rows.schema).json(path)
 
 
-@query
+@query("evaluate_test")
 def evaluate_test(spark: SparkSession, folder: str) -> DataFrame:
     """Saved models on the test rows; one that was never saved is skipped."""
     path, rows = _saved(spark, folder, ("sgd_linear", "multinomial_nb"))
@@ -656,7 +659,7 @@ def _bayes_scorer(spark: SparkSession, folder: str) -> Scorer:
     return load_scorer(spark, path)
 
 
-@query
+@query("attach_predictions")
 def attach_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Scores kept in a table of their own, joined back by id."""
     rows = documents(spark, folder)
@@ -665,7 +668,7 @@ def attach_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return source.join(scored, "id")
 
 
-@query
+@query("score_table")
 def score_stored_table(spark: SparkSession, folder: str) -> DataFrame:
     """A CSV in, its columns with label and confidence out, written and read back."""
     path, out = staging_path(spark, "documents-csv"), staging_path(spark, "scored-csv")
@@ -677,7 +680,7 @@ def score_stored_table(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("write_model")
 def saved_model(spark: SparkSession, folder: str) -> DataFrame:
     """The champion, saved and loaded, on the test rows."""
     path, rows = _saved(spark, folder, ("multinomial_nb",))
@@ -685,7 +688,7 @@ def saved_model(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("id", "sentiment", "predicted_label", "confidence")
 
 
-@query
+@query("predict_with_model")
 def predict_with_model(spark: SparkSession, folder: str) -> DataFrame:
     """A model asked for by name, though another may be the champion."""
     path, rows = _saved(spark, folder, ("sgd_linear", "multinomial_nb"))
@@ -693,12 +696,12 @@ def predict_with_model(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(F.md5("text").alias("text_digest"), "predicted_label", "confidence", "model_used")
 
 
-@query
+@query("predict_batch")
 def predict_texts(spark: SparkSession, folder: str) -> DataFrame:
     return predict_batch(src.spread(table(spark, folder, "conversations")), _bayes_scorer(spark, folder), "text")
 
 
-@query
+@query("confidence")
 def confidence(spark: SparkSession, folder: str) -> DataFrame:
     """Probability of *positive*, and of the label given."""
     scored = score(src.spread(table(spark, folder, "conversations")), _bayes_scorer(spark, folder), "text")
@@ -706,13 +709,13 @@ def confidence(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("conv_id", "turn", "confidence", round_half_up(shown, 4).alias("label_confidence"))
 
 
-@query
+@query("preview")
 def preview_rows(spark: SparkSession, folder: str) -> DataFrame:
     scored = score(documents(spark, folder), _bayes_scorer(spark, folder), "text")
     return preview(scored).select("id", "predicted_label", "confidence")
 
 
-@query
+@query("score_stream")
 def score_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The conversations as a file stream, scored until none is left."""
     scorer = _bayes_scorer(spark, folder)
