@@ -15,7 +15,7 @@ from opinara.functions.numeric import round_half_up
 from opinara.functions.tokens import char_wb_ngrams, with_terms, word_ngrams, word_tokens
 from opinara.operators import evaluation as ev
 from opinara.operators import profiling as p
-from opinara.operators.classifiers import model_fitter
+from opinara.operators.classifiers import fit_linear_svm, model_fitter
 from opinara.operators.cleaning import clean_table, empty_after_clean, stopword_antijoin
 from opinara.operators.features import (
     TermModel,
@@ -68,7 +68,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
-    return src.raw_reviews(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return src.raw_reviews(src.spread(table(spark, folder, "documents")), table(spark, folder, "labels"))
 
 
 def loaded(spark: SparkSession, folder: str) -> DataFrame:
@@ -496,8 +496,6 @@ def _held_out_scores(name: str) -> Query:
 
 
 def _bare_svm(spark: SparkSession, folder: str) -> DataFrame:
-    from opinara.operators.classifiers import fit_linear_svm
-
     terms, features = feature_table(cleaned(spark, folder), BAYES)
     rows = features.where("split = 'train'").select("id", "label", "features")
     model = fit_linear_svm(rows, BAYES.params_for("linear_svm"), BAYES.seed, len(terms.vocabulary))

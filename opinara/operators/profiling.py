@@ -72,18 +72,15 @@ def value_counts(df: DataFrame, value: Column, *by: str) -> DataFrame:
 
 def describe(counts: DataFrame, *by: str) -> DataFrame:
     """count, mean, sample deviation, minimum, quartiles and maximum of a frequency table."""
-    total = F.sum(F.col("value") * F.col("n")) / F.sum("n")
-    quartiles = F.percentile("value", list(QUARTILES), F.col("n"))
-    base = counts.groupBy(*by).agg(
-        F.sum("n").alias("count"), total.alias("m"), F.min("value").alias("min"),
-        quartiles.alias("q"), F.max("value").alias("max"),
+    value, n = F.col("value").cast("double"), F.col("n")
+    joined = counts.groupBy(*by).agg(
+        F.sum("n").alias("count"), F.sum(value * n).alias("total"), F.sum(value * value * n).alias("squares"),
+        F.min("value").alias("min"), F.percentile("value", list(QUARTILES), n).alias("q"), F.max("value").alias("max"),
     )
-    keyed = counts.join(base.select(*by, "m"), list(by)) if by else counts.crossJoin(base.select("m"))
-    spread = keyed.groupBy(*by).agg(F.sum(F.col("n") * (F.col("value") - F.col("m")) ** 2).alias("ss"))
-    joined = base.join(spread, list(by)) if by else base.crossJoin(spread)
-    std = F.sqrt(F.try_divide(F.col("ss"), (F.col("count") - 1).cast("double")))
+    spread = F.greatest(F.col("squares") - F.col("total") * F.col("total") / F.col("count"), F.lit(0.0))
+    std = F.sqrt(F.try_divide(spread, (F.col("count") - 1).cast("double")))
     columns = {
-        "count": F.col("count").cast("double"), "mean": F.col("m"), "std": std,
+        "count": F.col("count").cast("double"), "mean": F.col("total") / F.col("count"), "std": std,
         "min": F.col("min").cast("double"), "q25": F.col("q")[0], "q50": F.col("q")[1],
         "q75": F.col("q")[2], "max": F.col("max").cast("double"),
     }

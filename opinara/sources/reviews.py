@@ -119,7 +119,6 @@ def load_reviews(
 
 def raw_reviews(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Bind a document table and its quality labels to ``(id, review, sentiment)``."""
-    documents = spread(documents)
     quality = labels.select("doc_id", "quality")
     return documents.select("doc_id", "text").join(quality, "doc_id", "left").select(
         F.col("doc_id").alias("id"),
