@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opinara.llm.common import documents
 from opinara.llm.exact_dedup import keep_first_copies
+from opinara.llm.quality_rules import keep_good_documents
 from opinara.staging import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", keep_good_documents),
     ("exact_dedup", keep_first_copies),
 ]
 

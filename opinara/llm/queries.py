@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opinara.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from opinara.llm.quality_rules import OP9_SQL, op9_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_quality_rules": op9_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_quality_rules": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
