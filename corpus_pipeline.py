@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opinara.llm.common import documents
 from opinara.llm.exact_dedup import keep_first_copies
+from opinara.llm.near_dedup import keep_one_of_each_family
 from opinara.llm.quality_rules import keep_good_documents
 from opinara.staging import stage
 
@@ -16,6 +17,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", keep_good_documents),
     ("exact_dedup", keep_first_copies),
+    ("near_dedup", keep_one_of_each_family),
 ]
 
 #: Packing has many equally good results, which SQL cannot single out.

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opinara.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from opinara.llm.near_dedup import op5_near_dedup
 from opinara.llm.quality_rules import OP9_SQL, op9_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_near_dedup": op5_near_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
