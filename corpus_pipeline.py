@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opinara.llm.best_fit_packing import pack_stage
 from opinara.llm.common import documents
 from opinara.llm.exact_dedup import keep_first_copies
 from opinara.llm.near_dedup import keep_one_of_each_family
@@ -18,6 +19,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", keep_good_documents),
     ("exact_dedup", keep_first_copies),
     ("near_dedup", keep_one_of_each_family),
+    ("best_fit_packing", pack_stage),
 ]
 
 #: Packing has many equally good results, which SQL cannot single out.
