@@ -11,6 +11,7 @@ from opinara.llm.common import documents
 from opinara.llm.exact_dedup import keep_first_copies
 from opinara.llm.near_dedup import keep_one_of_each_family
 from opinara.llm.quality_rules import keep_good_documents
+from opinara.llm.source_mixing import mix_sources
 from opinara.staging import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,6 +20,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", keep_good_documents),
     ("exact_dedup", keep_first_copies),
     ("near_dedup", keep_one_of_each_family),
+    ("source_mixing", mix_sources),
     ("best_fit_packing", pack_stage),
 ]
 

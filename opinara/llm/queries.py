@@ -10,10 +10,12 @@ from opinara.llm.best_fit_packing import op2_best_fit_packing
 from opinara.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from opinara.llm.near_dedup import op5_near_dedup
 from opinara.llm.quality_rules import OP9_SQL, op9_quality_rules
+from opinara.llm.source_mixing import op4_source_mixing
 from opinara.llm.token_files import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_source_mixing": op4_source_mixing,
     "op5_near_dedup": op5_near_dedup,
     "op7_token_files": op7_token_files,
     "op9_quality_rules": op9_quality_rules,
