@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opinara.llm.best_fit_packing import op2_best_fit_packing
 from opinara.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from opinara.llm.hilbert_sharding import op3_hilbert_sharding
+from opinara.llm.host_reputation import OP6_SQL, op6_host_reputation
 from opinara.llm.near_dedup import op5_near_dedup
 from opinara.llm.quality_rules import OP9_SQL, op9_quality_rules
 from opinara.llm.source_mixing import op4_source_mixing
@@ -15,14 +17,17 @@ from opinara.llm.token_files import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_hilbert_sharding": op3_hilbert_sharding,
     "op4_source_mixing": op4_source_mixing,
     "op5_near_dedup": op5_near_dedup,
+    "op6_host_reputation": op6_host_reputation,
     "op7_token_files": op7_token_files,
     "op9_quality_rules": op9_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_host_reputation": OP6_SQL,
     "op9_quality_rules": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
