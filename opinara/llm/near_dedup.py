@@ -9,7 +9,8 @@ go (at ``SIGMAS`` standard deviations below the threshold); the rest are confirm
 A band's bucket may hold most of the table, so its pairs are never listed. Members are first
 compared with the bucket's least row, which joins a family of near copies into one component.
 Buckets that still hold several components are cut into blocks, and pairs of blocks look for close
-sketches across components only.
+sketches across components only: in the first bucket that two members share, and no further once
+a pair that is surely similar has joined their components.
 """
 
 from __future__ import annotations
@@ -62,6 +63,32 @@ def set_of(text: str | None, codes: WordCodes, width: int) -> np.ndarray:
     return np.unique(shingle_hashes(codes_of(words_of(text), codes), width))
 
 
+def set_sketch(hashes: np.ndarray) -> bytes:
+    """Parities of a whole set: four bits a shingle at least, a power of two of them."""
+    bits = 1 << max(6, int(4 * len(hashes) - 1).bit_length())
+    at = (hashes & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def surely(a: bytes, b: bytes, sizes: int, percent: int) -> int:
+    """1 if two set sketches are surely of similar sets, -1 if surely not, else 0.
+
+    ``sizes`` is the sum of the sizes of the sets. The wider sketch is folded onto the narrower.
+    """
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    bits, odd = 64 * len(x), int(np.bitwise_count(x ^ y).sum())
+    most = sizes * (100 - percent) / (100 + percent)
+    slack = 2 + (SIGMAS + 1) * math.sqrt(1 + 2 * most * most / bits)
+    if 2 * odd >= bits:
+        return -1 if most + slack < bits / 2 else 0
+    differ = math.log(1 - 2 * odd / bits) / math.log(1 - 2 / bits)
+    return 1 if differ < most - slack else -1 if differ > most + slack else 0
+
+
 class Sketcher:
     def __init__(self, config: NearConfig):
         self.config = config
@@ -98,13 +125,14 @@ def _features(config: NearConfig):
             ("set_digest", pa.binary()),
             ("bands", pa.list_(pa.int64())),
             ("sketch", pa.list_(pa.int64())),
+            ("whole", pa.binary()),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher, codes = Sketcher(config), WordCodes()
         for batch in batches:
-            sizes, digests, bands, sketches = [], [], [], []
+            sizes, digests, bands, sketches, wholes = [], [], [], [], []
             for text in batch.column(2):
                 hashes = set_of(text.as_py(), codes, config.width)
                 sizes.append(len(hashes))
@@ -113,19 +141,23 @@ def _features(config: NearConfig):
                     digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                     bands.append(sketcher.bands(samples))
                     sketches.append(sketcher.sketch(samples))
+                    wholes.append(set_sketch(hashes))
                 else:
                     digests.append(None)
                     bands.append(None)
                     sketches.append(None)
-            columns = [batch.column(0), batch.column(1), sizes, digests, bands, sketches]
+                    wholes.append(None)
+            columns = [batch.column(0), batch.column(1), sizes, digests, bands, sketches, wholes]
             yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
     return run
 
 
 def features(docs: DataFrame, config: NearConfig) -> DataFrame:
-    """``(key, doc_id, n_shingles, set_digest, bands, sketch)`` of every row, written once."""
-    schema = "key long, doc_id long, n_shingles long, set_digest binary, bands array<long>, sketch array<long>"
+    """``(key, doc_id, n_shingles, set_digest, bands, sketch, whole)`` of every row, written once."""
+    schema = (
+        "key long, doc_id long, n_shingles long, set_digest binary, bands array<long>, sketch array<long>, whole binary"
+    )
     rows = docs.select(F.col(KEY).alias("key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return stage(rows.mapInArrow(_features(config), schema), "near-features")
 
@@ -160,20 +192,33 @@ def _confirm(percent: int):
     return run
 
 
+def _likely(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wholes, others, sizes = (batch.column(i).to_pylist() for i in (2, 3, 4))
+            keep = [surely(x, y, n, percent) >= 0 for x, y, n in zip(wholes, others, sizes)]
+            yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 class Linker:
     """Confirms candidate pairs on full sets, which are written for the rows that need them."""
 
     def __init__(self, docs: DataFrame, reps: DataFrame, config: NearConfig):
         self.docs = docs.select(F.col(KEY).alias("key"), F.col("text").cast("string"))
-        self.sketches = reps.select("key", "sketch", "n_shingles")
+        self.reps = reps
         self.config = config
 
     def close(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and sketches allow the similarity."""
-        side = lambda n: self.sketches.select(F.col("key").alias(n), F.col("sketch").alias(f"s{n}"), F.col("n_shingles").alias(f"n{n}"))
+        side = lambda n, what: self.reps.select(F.col("key").alias(n), F.col(what).alias(f"s{n}"), F.col("n_shingles").alias(f"n{n}"))
         sized = (100 * F.least("na", "nb")) >= self.config.percent * F.greatest("na", "nb")
         near = differing_bits(F.col("sa"), F.col("sb")) <= self.config.most_bits
-        return pairs.join(side("a"), "a").join(side("b"), "b").where(sized & near).select("a", "b")
+        few = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b").where(sized & near).select("a", "b")
+        full = few.join(side("a", "whole"), "a").join(side("b", "whole"), "b")
+        full = full.select("a", "b", "sa", "sb", (F.col("na") + F.col("nb")).alias("sizes"))
+        return full.mapInArrow(_likely(self.config.percent), "a long, b long")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The links among ``pairs``, which is a written table."""
@@ -186,23 +231,40 @@ class Linker:
 
 
 def _across(most_bits: int, percent: int):
-    """Close pairs of different components in a pair of blocks."""
+    """Similar pairs of different components in a pair of blocks of a bucket."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        one, two = key[1], key[2]
+        bucket, one, two = key
         left, right = rows[rows["block"] == one], rows[rows["block"] == two]
-        a = np.stack(left["sketch"].to_numpy()).view(np.uint64) if len(left) else np.zeros((0, 1), np.uint64)
-        b = np.stack(right["sketch"].to_numpy()).view(np.uint64) if len(right) else a[:0]
-        keys, others = left["key"].to_numpy(), right["key"].to_numpy()
-        comps, more = left["comp"].to_numpy(), right["comp"].to_numpy()
-        sizes, most = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
-        found = []
-        for i in range(len(left)):
-            far = np.bitwise_count(b ^ a[i]).sum(axis=1)
-            sized = 100 * np.minimum(sizes[i], most) >= percent * np.maximum(sizes[i], most)
-            hit = (far <= most_bits) & sized & (more != comps[i]) & ((others > keys[i]) | (one != two))
-            found.append(pd.DataFrame({"a": np.minimum(keys[i], others[hit]), "b": np.maximum(keys[i], others[hit])}))
-        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        found: list[tuple[int, int]] = []
+        if left.empty or right.empty:
+            return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        joined: dict[int, int] = {}
+
+        def top(comp: int) -> int:
+            while comp in joined:
+                comp = joined[comp]
+            return comp
+
+        sketches, bands = np.stack(right["sketch"].to_numpy()).view(np.uint64), np.stack(right["bands"].to_numpy())
+        keys, comps, sizes, wholes = (right[c].to_numpy() for c in ("key", "comp", "n_shingles", "whole"))
+        for row in left.itertuples():
+            far = np.bitwise_count(sketches ^ np.asarray(row.sketch).view(np.uint64)).sum(axis=1)
+            sized = 100 * np.minimum(row.n_shingles, sizes) >= percent * np.maximum(row.n_shingles, sizes)
+            hit = np.flatnonzero((far <= most_bits) & sized & (comps != row.comp) & ((keys > row.key) | (one != two)))
+            # A pair belongs to the first bucket that its members share.
+            here = int(np.flatnonzero(np.asarray(row.bands) == bucket)[0])
+            hit = hit[(bands[hit] == row.bands).argmax(axis=1) == here]
+            for i in hit.tolist():
+                a, b = top(row.comp), top(int(comps[i]))
+                if a == b:
+                    continue
+                sure = surely(row.whole, wholes[i], row.n_shingles + int(sizes[i]), percent)
+                if sure >= 0:
+                    found.append((min(row.key, int(keys[i])), max(row.key, int(keys[i]))))
+                if sure > 0:
+                    joined[max(a, b)] = min(a, b)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
@@ -215,13 +277,13 @@ def residual_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame, confi
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     placed = (
         rows.join(mixed_up.select("bucket"), "bucket", "left_semi")
-        .join(reps.select("key", "sketch", "n_shingles"), "key")
+        .join(reps.select("key", "sketch", "n_shingles", "bands", "whole"), "key")
         .withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-            "block", "key", "comp", "sketch", "n_shingles",
+            "block", "key", "comp", "sketch", "n_shingles", "bands", "whole",
         )
     )
     pairs = placed.groupBy("bucket", "one", "two").applyInPandas(_across(config.most_bits, config.percent), "a long, b long")
@@ -242,7 +304,7 @@ def near_components(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     classes = rows.where("n_shingles > 0").groupBy("set_digest").agg(F.min("key").alias("rep"))
     classes = stage(classes, "near-classes")
     reps = stage(
-        rows.join(classes.select(F.col("rep").alias("key")), "key", "left_semi").select("key", "n_shingles", "bands", "sketch"),
+        rows.join(classes.select(F.col("rep").alias("key")), "key", "left_semi").select("key", "n_shingles", "bands", "sketch", "whole"),
         "near-reps",
     )
     banded = reps.select("key", F.explode("bands").alias("bucket"))

@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from opinara.llm.components import components
 from opinara.llm.near_dedup import (
     BLOCK, NearConfig, Sketcher, keep_one_of_each_family, near_components, residual_pairs, set_of,
+    set_sketch, surely,
 )
 from opinara.llm.shingles import WordCodes
 
@@ -72,19 +74,37 @@ def test_families_chains_and_edges(spark):
 
 
 def test_blocks_find_close_pairs_across_components(spark):
-    """A bucket larger than a block: an outlier first, one family, and a pair no star has joined."""
+    """A bucket larger than a block: a family, and two of its members that no star has joined."""
     config, codes = NearConfig(), WordCodes()
     sketcher = Sketcher(config)
-    texts = ["z " + " ".join(f"o{i}" for i in range(90))]
-    texts += [" ".join(f"b{i}" for i in range(200)) + f" end{n}" for n in range(BLOCK + 60)]
+    texts = [" ".join(f"b{i}" for i in range(200)) + f" end{n}" for n in range(BLOCK + 60)]
     sets = [set_of(t, codes, config.width) for t in texts]
-    reps = [(n, len(s), sketcher.sketch(sketcher.samples(s)).tolist()) for n, s in enumerate(sets)]
-    members = spark.createDataFrame([(7, 0, len(reps), n) for n in range(len(reps))], "bucket long, center long, size long, key long")
-    labels = spark.createDataFrame([(n, 1) for n in range(2, len(reps) - 2)], "u long, v long")
-    found = residual_pairs(members, labels, spark.createDataFrame(reps, "key long, n_shingles long, sketch array<long>"), config)
-    pairs = {(r.a, r.b) for r in found.collect()}
-    x, y = len(reps) - 2, len(reps) - 1
-    assert pairs == {(n, e) for n in range(1, x) for e in (x, y)} | {(x, y)}
+    samples = [sketcher.samples(x) for x in sets]
+    bands = [sketcher.bands(x).tolist() for x in samples]
+    shared = next(b for n, b in enumerate(bands[-1]) if sum(x[n] == b for x in bands) > BLOCK)
+    inside = [n for n, x in enumerate(bands) if shared in x]
+    reps = [(n, len(sets[n]), sketcher.sketch(samples[n]).tolist(), bands[n], set_sketch(sets[n])) for n in inside]
+    members = spark.createDataFrame([(shared, inside[0], len(inside), n) for n in inside], "bucket long, center long, size long, key long")
+    x, y = inside[-2:]
+    labels = spark.createDataFrame([(n, inside[0]) for n in inside[1:-2]], "u long, v long")
+    schema = "key long, n_shingles long, sketch array<long>, bands array<long>, whole binary"
+    found = {tuple(r) for r in residual_pairs(members, labels, spark.createDataFrame(reps, schema), config).collect()}
+    assert found and {b for _, b in found} <= {x, y}
+    assert len(found) < 3 * (len(inside) // BLOCK + 2)
+
+
+def test_set_sketches_tell_similar_sets():
+    draw = np.random.default_rng(9)
+    for size in (3, 40, 500, 9000):
+        for alike in (0.3, 0.7, 0.79, 0.81, 0.9, 1.0):
+            both = round(size * alike)
+            base = draw.integers(0, 2**63, 2 * size, dtype=np.uint64)
+            a = np.concatenate([base[:both], base[size : size + (size - both) // 2]])
+            b = np.concatenate([base[:both], base[2 * size - (size - both - (size - both) // 2) :]])
+            similar = 100 * both >= 80 * (len(a) + len(b) - both)
+            verdict = surely(set_sketch(a), set_sketch(b), len(a) + len(b), 80)
+            assert verdict == 0 or (verdict > 0) == similar
+            assert size < 500 or 0.75 < alike < 0.85 or verdict
 
 
 def test_repeated_rows_null_ids_and_empty_table(spark):
