@@ -13,9 +13,11 @@ from opinara.llm.host_reputation import OP6_SQL, op6_host_reputation
 from opinara.llm.near_dedup import op5_near_dedup
 from opinara.llm.quality_rules import OP9_SQL, op9_quality_rules
 from opinara.llm.source_mixing import op4_source_mixing
+from opinara.llm.suffix_dedup import op1_suffix_dedup
 from opinara.llm.token_files import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_hilbert_sharding": op3_hilbert_sharding,
     "op4_source_mixing": op4_source_mixing,
