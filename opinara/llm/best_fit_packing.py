@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinara.llm.common import KEY, documents, with_key
-from opinara.llm.tokens import Encoder, vocabulary_path
+from opinara.llm.tokens import encoder_for, vocabulary_path
 from opinara.staging import stage
 
 
@@ -43,7 +43,7 @@ def _pieces(config: PackConfig):
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(config.vocabulary, config.end_id)
+        encoder = encoder_for(config.vocabulary, config.end_id)
         for batch in batches:
             out: list[list[int]] = [[] for _ in schema]
             keys, ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()

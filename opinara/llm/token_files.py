@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinara.llm.common import KEY, documents, with_key
-from opinara.llm.tokens import Encoder, vocabulary_path
+from opinara.llm.tokens import encoder_for, vocabulary_path
 from opinara.staging import stage, staging_path
 
 
@@ -139,7 +139,7 @@ def _write(folder: str, config: TokenFileConfig):
         task = TaskContext.get()
         part = task.partitionId()
         name = f"part-{part:06d}-{task.taskAttemptId()}-{uuid.uuid4().hex}.arrow"
-        encoder, system, path = Encoder(config.vocabulary, config.end_id), *open_folder(folder)
+        encoder, system, path = encoder_for(config.vocabulary, config.end_id), *open_folder(folder)
         system.create_dir(path, recursive=True)
         with system.open_output_stream(f"{path}/{name}") as sink:
             writer = SequenceWriter(sink, config)

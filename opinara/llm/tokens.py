@@ -19,16 +19,15 @@ import numpy as np
 
 #: Chunks, and characters of chunks, that a worker remembers for good; later ones are known for
 #: their own batch only.
-REMEMBERED = 400_000
-REMEMBERED_CHARS = 8_000_000
+REMEMBERED = 800_000
+REMEMBERED_CHARS = 16_000_000
 #: Characters of the texts that are cut at once.
 BATCH_CHARS = 2_000_000
 
 #: After a visible ASCII character, before a space or line feed.
 _CUT = re.compile(r"(?<=[!-~])(?=[ \n])")
-#: White space that the plain way of cutting would not cut right.
-_UNEVEN = re.compile(r"\s\s|[^\S \n]|[^\x00-\x7F][ \n]")
-_WORD = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,:;!?]?)")
+#: A word (or a number) and what closes it: two pieces at most, after a line feed.
+_WORD = re.compile(r"(\n?)( ?(?:[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+))([!-/:-@\[-`{-~]*)")
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -44,10 +43,20 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(hidden)) for b in range(256)]
 
 
+_ENCODERS: dict[tuple[str, int | None], Encoder] = {}
+
+
+def encoder_for(path: str, end_id: int | None) -> Encoder:
+    """The encoder of this worker, with what it has met in earlier tasks."""
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS[path, end_id] = Encoder(path, end_id)
+    return _ENCODERS[path, end_id]
+
+
 class Encoder(dict):
     """Ids of texts, an end id after each. ``path`` names a ``tokenizers`` file of byte-level BPE.
 
-    As a mapping: chunk to its number among the chunks met, which is its place in ``starts``.
+    As a mapping: a chunk's name (see ``names_of``) to its place in ``starts``.
     """
 
     def __init__(self, path: str, end_id: int | None):
@@ -62,26 +71,27 @@ class Encoder(dict):
         self.words: dict[str, list[int]] = {"": []}
         self.added: list[str] = []
         self.chars = 0
-        # The end id is the chunk that no text has.
-        self.end = [] if end_id is None else [self._add("", [end_id])]
+        # The end id goes by a name that no chunk has.
+        self.end = [] if end_id is None else [self._add(" ", [end_id])]
 
-    def _add(self, chunk: str, ids: list[int]) -> int:
+    def _add(self, name: str, ids: list[int]) -> int:
         self.pool.extend(ids)
         self.starts.append(len(self.pool))
-        self.added.append(chunk)
-        self.chars += len(chunk)
-        at = self[chunk] = len(self.starts) - 2
+        self.added.append(name)
+        self.chars += len(name)
+        at = self[name] = len(self.starts) - 2
         return at
 
-    def __missing__(self, chunk: str) -> int:
+    def __missing__(self, name: str) -> int:
+        chunk = name[1:] if name[:1] == " " else name if name[:1] == "\n" else " " + name
         found = _WORD.fullmatch(chunk)
         if not found:
-            return self._add(chunk, self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+            return self._add(name, self.tokenizer.encode(chunk, add_special_tokens=False).ids)
         feed, word, mark = found.groups()
         ids = self._piece(word)
         if feed:
             ids = self._piece(feed) + ids
-        return self._add(chunk, ids + self._piece(mark) if mark else ids)
+        return self._add(name, ids + self._piece(mark) if mark else ids)
 
     def _piece(self, piece: str) -> list[int]:
         ids = self.words.get(piece)
@@ -109,17 +119,18 @@ class Encoder(dict):
         ends = []
         for text in texts:
             if text:
-                at.extend(map(self.__getitem__, chunks_of(text)))
+                at.extend(map(self.__getitem__, names_of(text)))
             at.extend(self.end)
             ends.append(len(at))
-        pool, starts = np.array(self.pool, np.uint32), np.array(self.starts, np.int64)
+        pool, starts = np.frombuffer(self.pool, np.uint32), np.frombuffer(self.starts, np.int64)
         chunks = np.array(at, np.int64)
-        sizes = np.diff(starts)[chunks]
+        sizes = starts[chunks + 1] - starts[chunks]
         closed = np.concatenate([[0], np.cumsum(sizes)])
         ids = pool[np.repeat(starts[chunks] - closed[:-1], sizes) + np.arange(closed[-1])]
+        del pool, starts  # views, which would keep the arrays from growing
         if len(self) > REMEMBERED or self.chars > REMEMBERED_CHARS:
-            for chunk in self.added:
-                del self[chunk]
+            for name in self.added:
+                del self[name]
             del self.starts[before[0] :], self.pool[before[1] :]
             self.chars = before[2]
         if len(self.words) > REMEMBERED:
@@ -127,13 +138,17 @@ class Encoder(dict):
         return np.split(ids, closed[ends][:-1]) if texts else []
 
 
-def chunks_of(text: str) -> list[str]:
-    """The text in chunks that a byte-level tokenizer encodes independently of each other."""
-    if _UNEVEN.search(text):
-        return [c for c in _CUT.split(text) if c]
-    chunks: list[str] = []
-    for n, line in enumerate(text.split("\n")):
-        first, *rest = line.split(" ")
-        chunks.append("\n" + first if n else first)
-        chunks.extend([" " + word for word in rest])
-    return [c for c in chunks if c]
+def names_of(text: str) -> list[str]:
+    """Names of the chunks that a byte-level tokenizer encodes independently of each other.
+
+    A chunk with a space in front goes by the word behind it, one with a line feed by itself, and
+    any other by a space and itself.
+    """
+    words = text.split()
+    gaps = len(words) - 1
+    if len("".join(words)) + gaps == len(text) and text.count(" ") + text.count("\n") == gaps >= 0:
+        # Every white space is a single space or line feed between two words.
+        names = text.replace("\n", " \n").split(" ")
+        names[0] = " " + names[0]
+        return names
+    return [" " + chunk for chunk in _CUT.split(text) if chunk]
