@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opinara.llm.best_fit_packing import op2_best_fit_packing
+from opinara.llm.chained_passages import op8_chained_passages
 from opinara.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from opinara.llm.hilbert_sharding import op3_hilbert_sharding
 from opinara.llm.host_reputation import OP6_SQL, op6_host_reputation
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_dedup": op5_near_dedup,
     "op6_host_reputation": op6_host_reputation,
     "op7_token_files": op7_token_files,
+    "op8_chained_passages": op8_chained_passages,
     "op9_quality_rules": op9_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
