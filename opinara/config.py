@@ -18,6 +18,7 @@ def subset_size(name: str) -> int | None:
     return SUBSETS[name]
 
 
+# Names and defaults of the cleaning parameters.
 @dataclass(frozen=True)
 class CleaningConfig:
     strategy: str = "standard"
@@ -30,6 +31,7 @@ class CleaningConfig:
     lemmatize: bool = True
 
 
+# Names and defaults of the feature parameters.
 @dataclass(frozen=True)
 class FeatureConfig:
     strategy: str = "tfidf"
@@ -59,13 +61,12 @@ class ProfileConfig:
     seed: int = 42
 
 
-# Default parameters per model. Iterations of the SVM are full passes over the data
-# here, so far fewer are allowed than a coordinate solver would count.
+# Default parameters per model. Trees are at most 30 deep, the deepest MLlib grows.
 DEFAULT_MODEL_PARAMS: dict[str, dict[str, Any]] = {
     "logistic_regression": {"C": 1.0, "max_iter": 2000, "class_weight": "balanced"},
-    "linear_svm": {"C": 1.0, "max_iter": 100, "class_weight": "balanced"},
+    "linear_svm": {"C": 1.0, "max_iter": 5000, "class_weight": "balanced"},
     "multinomial_nb": {"alpha": 1.0},
-    "random_forest": {"n_estimators": 300, "max_depth": 40, "class_weight": "balanced"},
+    "random_forest": {"n_estimators": 300, "max_depth": 30, "class_weight": "balanced"},
     "sgd_linear": {"alpha": 0.0001, "max_iter": 2000},
 }
 

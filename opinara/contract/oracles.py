@@ -138,14 +138,13 @@ SELECT r.id, r.review, r.sentiment,
        CASE WHEN place <= n - rest THEN 'test' WHEN place <= n - train THEN 'val' ELSE 'train' END AS split
 FROM (SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY {order_key()}, id) AS place FROM reviews) r
 JOIN split_sizes s ON r.sentiment = s.sentiment"""
-CTES["clean_documents"] = f"SELECT doc_id AS id, {standard('text')} AS clean_review FROM documents"
-CTES["cleaned"] = f"""
-SELECT id, split, CASE sentiment WHEN 'positive' THEN 1.0::DOUBLE WHEN 'negative' THEN 0.0::DOUBLE END AS label,
-       {standard('review')} AS clean_review FROM splits"""
 
 
-def add_lemmas(prefix: str, source: str) -> None:
-    """CTEs ``{prefix}_lemmas(term, lemma, n)`` and ``{prefix}_lemmatized`` over ``(id, text)``."""
+def add_lemmas(prefix: str, source: str, known: str = "true", lexicon: str | None = None) -> None:
+    """CTEs ``{prefix}_lemmas(term, lemma, n)`` and ``{prefix}_lemmatized`` over ``(id, text)``.
+
+    The lexicon is that of the rows of ``source`` for which ``known`` holds, or another CTE.
+    """
     rewritten = ", ".join(
         f"CASE WHEN ends_with(form, {quoted(old)}) THEN {{'place': {i}, "
         f"'form': left(form, length(form) - {len(old)}) || {quoted(new)}}} END"
@@ -154,8 +153,9 @@ def add_lemmas(prefix: str, source: str) -> None:
     grown = f"unnest(list_filter([{rewritten}], lambda r: r IS NOT NULL))"
     CTES[f"{prefix}_words"] = f"""
 SELECT id, unnest({words_of('text')}) AS term, generate_subscripts({words_of('text')}, 1) AS pos FROM {source}"""
-    CTES[f"{prefix}_lexicon"] = f"""
-SELECT term AS form FROM (SELECT DISTINCT id, term FROM {prefix}_words) GROUP BY term HAVING count(*) >= 2"""
+    CTES[f"{prefix}_lexicon"] = f"SELECT form FROM {lexicon}" if lexicon else f"""
+SELECT term AS form FROM (SELECT DISTINCT id, term FROM {prefix}_words SEMI JOIN (SELECT id FROM {source} WHERE {known}) USING (id))
+GROUP BY term HAVING count(*) >= 2"""
     CTES[f"{prefix}_terms"] = f"""
 SELECT term, count(*) AS n FROM {prefix}_words
 WHERE ends_with(term, 's') OR ends_with(term, 'men') GROUP BY term"""
@@ -180,10 +180,19 @@ FROM {source} s LEFT JOIN (
   FROM {prefix}_words w LEFT JOIN {prefix}_lemmas l ON w.term = l.term GROUP BY id) t ON s.id = t.id"""
 
 
-CTES["plain"] = "SELECT id, clean_review AS text FROM clean_documents"
+CTES["plain"] = f"SELECT doc_id AS id, {standard('text')} AS text FROM documents"
 CTES["terse"] = f"SELECT doc_id AS id, {aggressive('text')} AS text FROM documents"
 add_lemmas("plain", "plain")
 add_lemmas("terse", "terse")
+CTES["clean_documents"] = "SELECT id, text AS clean_review FROM plain_lemmatized"
+# Models know the words of the training rows, whatever text they clean.
+CTES["split_plain"] = f"SELECT id, split, {standard('review')} AS text FROM splits"
+add_lemmas("split", "split_plain", "split = 'train'")
+CTES["cleaned"] = """
+SELECT id, split, CASE sentiment WHEN 'positive' THEN 1.0::DOUBLE WHEN 'negative' THEN 0.0::DOUBLE END AS label,
+       text AS clean_review FROM splits JOIN split_lemmatized USING (id)"""
+add_lemmas("scored_doc", "plain", lexicon="split_lexicon")
+CTES["scored_documents"] = "SELECT id, text AS clean_review FROM scored_doc_lemmatized"
 
 
 def add_features(prefix: str, source: str, tokens: str, grams: str, config: FeatureConfig, fitted_on: str = "true") -> None:
@@ -223,10 +232,13 @@ add_features("nb", "cleaned", tokens_of("clean_review"), PAIRS, WORDS, "split =
 add_features("cnt", "cleaned", tokens_of("clean_review"), PAIRS, FeatureConfig(strategy="count"), "split = 'train'")
 # Unlabelled texts scored with the vocabulary of the training rows.
 add_features("talk", "talk", tokens_of("clean_review"), PAIRS, WORDS)
-add_features("all", "clean_documents", tokens_of("clean_review"), PAIRS, WORDS)
-CTES["talk"] = f"""
-SELECT row_number() OVER (ORDER BY conv_id, turn, role, text) AS id, conv_id, turn, text, {standard('text')} AS clean_review
-FROM conversations"""
+add_features("all", "scored_documents", tokens_of("clean_review"), PAIRS, WORDS)
+CTES["said"] = """
+SELECT row_number() OVER (ORDER BY conv_id, turn, role, text) AS id, conv_id, turn, text FROM conversations"""
+CTES["talk_words"] = f"SELECT id, {standard('text')} AS text FROM said"
+add_lemmas("said", "talk_words", lexicon="split_lexicon")
+CTES["talk"] = """
+SELECT s.id, conv_id, turn, s.text, l.text AS clean_review FROM said s JOIN said_lemmatized l ON s.id = l.id"""
 for _prefix in ("talk", "all"):
     CTES[f"{_prefix}_weights"] = CTES[f"{_prefix}_weights"].replace(f"{_prefix}_vocabulary", "nb_vocabulary")
 
@@ -313,14 +325,20 @@ def probability(margin: str = "margin", digits: int = 4) -> str:
 _LABEL = f"CASE WHEN {rounded('margin', 9)} > 0 THEN 'positive' ELSE 'negative' END"
 CTES["held_out"] = margins("tfidf_nb", "nb", "cleaned", "s.id, s.split, s.label", "s.split = 'test'")
 CTES["talk_scored"] = margins("tfidf_nb", "talk", "talk", "s.id, s.conv_id, s.turn, s.text")
-CTES["all_scored"] = margins("tfidf_nb", "all", "clean_documents", "s.id")
+CTES["all_scored"] = margins("tfidf_nb", "all", "scored_documents", "s.id")
 
 
 # ------------------------------------------------------------------ profile
 
 CTES["train_reviews"] = "SELECT id, review, sentiment FROM splits WHERE split = 'train'"
-CTES["clean_reviews"] = f"SELECT id, review, sentiment, {standard('review')} AS clean_review FROM raw_reviews"
-CTES["train_clean"] = f"SELECT id, sentiment, {standard('review')} AS clean_review FROM train_reviews"
+CTES["raw_words"] = f"SELECT id, {standard('review')} AS text FROM raw_reviews"
+CTES["train_words"] = f"SELECT id, {standard('review')} AS text FROM train_reviews"
+add_lemmas("raw_text", "raw_words")
+add_lemmas("train_text", "train_words")
+CTES["clean_reviews"] = """
+SELECT r.id, review, sentiment, text AS clean_review FROM raw_reviews r JOIN raw_text_lemmatized l ON r.id = l.id"""
+CTES["train_clean"] = """
+SELECT r.id, sentiment, text AS clean_review FROM train_reviews r JOIN train_text_lemmatized l ON r.id = l.id"""
 _CHARS = "length(coalesce(review, ''))"
 _WORDS = f"len({words_of("coalesce(review, '')")})"
 

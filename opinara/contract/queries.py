@@ -44,12 +44,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-#: Cleaning of the model queries: the defaults without lemmas.
-PLAIN = CleaningConfig(lemmatize=False)
+#: Cleaning of the queries: the defaults, lemmas included.
+CLEANING = CleaningConfig()
 WORDS = FeatureConfig()
 COUNTS = FeatureConfig(strategy="count")
 CHARS = FeatureConfig(strategy="tfidf_char")
-BAYES = TrainingConfig(cleaning=PLAIN, active_models=("multinomial_nb",))
+BAYES = TrainingConfig(cleaning=CLEANING, active_models=("multinomial_nb",))
 
 #: Rows the subset query draws; the whole table if it has no more.
 SUBSET_ROWS = 200
@@ -68,7 +68,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
-    return src.raw_reviews(src.spread(table(spark, folder, "documents")), table(spark, folder, "labels"))
+    return src.raw_reviews(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def loaded(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,7 +76,7 @@ def loaded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return src.spread(table(spark, folder, "documents")).select(F.col("doc_id").alias("id"), "text")
+    return table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 def splits(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,7 +89,7 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 def _plain(spark: SparkSession, folder: str) -> DataFrame:
     """Documents cleaned up to the lemma step."""
-    text = x.clean_expr(F.col("text"), PLAIN)
+    text = x.clean_expr(F.col("text"), CLEANING)
     return stage(documents(spark, folder).select("id", text.alias("text")), "plain")
 
 
@@ -152,7 +152,7 @@ def _documents_with(step: Callable[[Column], Column]) -> Query:
 
 def _pages_with(step: Callable[[Column], Column]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return src.spread(table(spark, folder, "pages")).select("page_id", step(F.col("html")).alias("text"))
+        return table(spark, folder, "pages").select("page_id", step(F.col("html")).alias("text"))
 
     return run
 
@@ -183,12 +183,12 @@ def clean_aggressive(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("clean_table")
 def clean_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return clean_table(raw(spark, folder), PLAIN)
+    return clean_table(raw(spark, folder), CLEANING)
 
 
 @query("empty_after_clean")
 def empty_after_cleaning(spark: SparkSession, folder: str) -> DataFrame:
-    return empty_after_clean(clean_table(raw(spark, folder), PLAIN))
+    return empty_after_clean(clean_table(raw(spark, folder), CLEANING))
 
 
 @query("lemmatize_tokens")
@@ -291,7 +291,7 @@ def classwise_boxplot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _clean_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return clean_table(documents(spark, folder), PLAIN, "text")
+    return clean_table(documents(spark, folder), CLEANING, "text")
 
 
 @query("top_words")
@@ -313,7 +313,7 @@ def ngram_stopwords(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("class_term_freq")
 def class_term_freq(spark: SparkSession, folder: str) -> DataFrame:
-    return p.class_term_freq(clean_table(raw(spark, folder), PLAIN))
+    return p.class_term_freq(clean_table(raw(spark, folder), CLEANING))
 
 
 @query("split_inspection")
@@ -324,7 +324,7 @@ def split_inspection(spark: SparkSession, folder: str) -> DataFrame:
 def _report(spark: SparkSession, folder: str) -> DataFrame:
     rows = stage(splits(spark, folder), "splits", partition_by="split")
     train_rows = rows.where("split = 'train'").select("id", "review", "sentiment")
-    clean = stage(clean_table(train_rows, PLAIN), "clean")
+    clean = stage(clean_table(train_rows, CLEANING), "clean")
     return profile_report(profile(train_rows, clean, rows))
 
 
@@ -513,7 +513,7 @@ QUERIES["sgd_linear"] = _held_out_scores("sgd_linear")
 
 @query("train_all")
 def train_models(spark: SparkSession, folder: str) -> DataFrame:
-    config = TrainingConfig(cleaning=PLAIN)
+    config = TrainingConfig(cleaning=CLEANING)
     terms, features = feature_table(cleaned(spark, folder), config)
     models = train_all(features, terms, config)
     scored = predictions(features.where("split = 'val'"), models)
@@ -555,7 +555,13 @@ def _variants(spark: SparkSession, folder: str) -> DataFrame:
 def graded(spark: SparkSession, folder: str) -> DataFrame:
     """The variants at two cuts: margin 0 and the median margin of the split."""
     scored = _variants(spark, folder)
-    median = scored.groupBy("variant", "split").agg(F.percentile("score", 0.5).alias("median"))
+    # The median from running counts: the scores that hold the two middle places.
+    ranks = ev.ranked_scores(scored, ("variant", "split"))
+    rows, before = F.col("n_pos") + F.col("n_neg"), F.col("n_pos") + F.col("n_neg") - F.col("pos_from") - F.col("neg_from")
+    middle = lambda place: F.max(F.when((before <= place) & (place < before + F.col("pos") + F.col("neg")), F.col("score")))
+    median = ranks.groupBy("variant", "split").agg(
+        ((middle(F.floor((rows - 1) / 2)) + middle(F.ceil((rows - 1) / 2))) / 2).alias("median")
+    )
     cuts = scored.join(median, ["variant", "split"]).select(
         "*",
         F.inline(
@@ -648,7 +654,7 @@ def evaluate_test(spark: SparkSession, folder: str) -> DataFrame:
 def _saved(spark: SparkSession, folder: str, names: tuple[str, ...]) -> tuple[str, DataFrame]:
     rows = stage(splits(spark, folder), "splits", partition_by="split")
     path = staging_path(spark, "model")
-    save(spark, train(rows, TrainingConfig(cleaning=PLAIN, active_models=names)), path)
+    save(spark, train(rows, TrainingConfig(cleaning=CLEANING, active_models=names)), path)
     return path, rows
 
 
@@ -696,13 +702,13 @@ def predict_with_model(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("predict_batch")
 def predict_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return predict_batch(src.spread(table(spark, folder, "conversations")), _bayes_scorer(spark, folder), "text")
+    return predict_batch(table(spark, folder, "conversations"), _bayes_scorer(spark, folder), "text")
 
 
 @query("confidence")
 def confidence(spark: SparkSession, folder: str) -> DataFrame:
     """Probability of *positive*, and of the label given."""
-    scored = score(src.spread(table(spark, folder, "conversations")), _bayes_scorer(spark, folder), "text")
+    scored = score(table(spark, folder, "conversations"), _bayes_scorer(spark, folder), "text")
     shown = F.when(F.col("predicted_label") == "positive", F.col("confidence")).otherwise(1.0 - F.col("confidence"))
     return scored.select("conv_id", "turn", "confidence", round_half_up(shown, 4).alias("label_confidence"))
 

@@ -231,21 +231,17 @@ def fit_multinomial_nb(df: DataFrame, params: dict[str, Any], seed: int, n_featu
     return fit_naive_bayes(df, n_features, params.get("alpha", 1.0))
 
 
-def most_used_features(df: DataFrame, limit: int) -> list[int]:
-    """Indices of the ``limit`` features found in the most rows, in index order."""
-    used = vector_entries(df).groupBy("idx").agg(F.count(F.lit(1)).alias("n"))
-    return sorted(r.idx for r in used.orderBy(F.desc("n"), "idx").limit(limit).collect())
-
-
 def fit_random_forest(df: DataFrame, params: dict[str, Any], seed: int, n_features: int) -> ForestClassifier:
-    """``max_features`` (2,000 by default) bounds the width: MLlib bins features densely."""
+    """A forest over all features. MLlib bins them densely: rows times features has to fit the executors."""
     df, extra, _ = _weighted(df, params)
-    width = params.get("max_features", 2000)
-    indices = list(range(n_features)) if n_features <= width else most_used_features(df, width)
+    depth = params.get("max_depth", MAX_TREE_DEPTH)
+    if depth > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth is {depth}; MLlib grows trees of {MAX_TREE_DEPTH} levels at most")
+    indices = list(range(n_features))
     estimator = RandomForestClassifier(
         featuresCol="__sliced",
         numTrees=params.get("n_estimators", 100),
-        maxDepth=min(params.get("max_depth", MAX_TREE_DEPTH), MAX_TREE_DEPTH),
+        maxDepth=depth,
         featureSubsetStrategy="sqrt",
         seed=seed,
         maxMemoryInMB=params.get("max_memory_mb", 1024),

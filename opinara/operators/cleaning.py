@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from opinara.config import CleaningConfig
 from opinara.functions.text import clean_expr, wants_lemmas
 from opinara.functions.wordlists import CLEANER_STOPWORDS
-from opinara.operators.lemmas import corpus_lexicon, lemma_table, lemmatize, term_frequencies
-from opinara.staging import stage
+from opinara.operators.lemmas import corpus_lexicon, lemma_table, lemmatize, numbered, term_frequencies
 
 
 def clean_table(
@@ -16,24 +15,24 @@ def clean_table(
     config: CleaningConfig,
     text_column: str = "review",
     output_column: str = "clean_review",
-    id_col: str = "id",
     lexicon: DataFrame | None = None,
     exceptions: DataFrame | None = None,
 ) -> DataFrame:
     """Add the cleaned text.
 
     With lemmas on, ``lexicon(form)`` lists known forms; without one, the terms found in two or
-    more rows of the cleaned table are used.
+    more rows of the cleaned table are used. Rows need no id; repeated and null ids are kept.
     """
     df = df.withColumn(output_column, clean_expr(F.col(text_column).cast("string"), config))
     if not wants_lemmas(config):
         return df
     # The lexicon, the term table and the replacement all read the cleaned words.
-    df = stage(df, "words")
+    rows = numbered(df, "words")
     if lexicon is None:
-        lexicon = corpus_lexicon(df, output_column)
-    lemmas = lemma_table(term_frequencies(df, output_column), lexicon, exceptions)
-    return lemmatize(df, output_column, lemmas, id_col)
+        lexicon = corpus_lexicon(rows, output_column)
+    by_rule = exceptions is None
+    lemmas = lemma_table(term_frequencies(rows, output_column, by_rule), lexicon, exceptions)
+    return lemmatize(rows, output_column, lemmas, by_rule)
 
 
 def empty_after_clean(df: DataFrame, column: str = "clean_review") -> DataFrame:

@@ -6,7 +6,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from opinara.functions.numeric import ratio, round_half_up
@@ -59,8 +58,10 @@ def precision_recall_f1(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFr
 
 
 def score_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """``(*by, score, pos, neg)``: tied scores in one row."""
-    return df.groupBy(*by, "score").agg(
+    """``(*by, score, pos, neg)``: tied scores in one row. A row without a score (null or NaN) takes
+    no part."""
+    scored = df.where(F.col("score").isNotNull() & ~F.isnan("score"))
+    return scored.groupBy(*by, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
 
@@ -75,8 +76,8 @@ def score_range(counts: DataFrame, n_scores: int, per_range: int) -> DataFrame:
         return counts.withColumn("part", F.lit(0.0))
     marks = [i / ranges for i in range(1, ranges)]
     inner = counts.agg(F.percentile_approx("score", marks, max(10_000, 10 * ranges)).alias("q")).first().q
-    splits = [-math.inf, *sorted(set(inner)), math.inf]
-    return Bucketizer(splits=splits, inputCol="score", outputCol="part").transform(counts)
+    marks = F.array(*[F.lit(float(q)) for q in sorted(set(inner))])
+    return counts.withColumn("part", F.size(F.filter(marks, lambda q: q <= F.col("score"))).cast("double"))
 
 
 def ranked_scores(df: DataFrame, by: Sequence[str], per_range: int = SCORES_PER_RANGE) -> DataFrame:

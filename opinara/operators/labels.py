@@ -28,8 +28,8 @@ def check_labels(df: DataFrame, name: str = "sentiment") -> None:
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Balanced weights: rows / (classes * rows of the class)."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """Balanced weights: rows / (classes * rows of the class). Rows without a label are left out."""
+    sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     totals = sizes.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))
     return sizes.crossJoin(totals).select(
         label, "n", (F.col("rows") / (F.col("classes") * F.col("n"))).alias("weight")
@@ -38,7 +38,11 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Add the balanced weight of each row; labels are the two known codes."""
-    found = {row[label]: row["weight"] for row in class_weights(df, label).limit(len(LABEL_CODES)).collect()}
+    rows = class_weights(df, label).limit(len(LABEL_CODES) + 1).collect()
+    found = {row[label]: row["weight"] for row in rows}
+    strange = sorted(set(found) - set(map(float, LABEL_CODES.values())))
+    if strange:
+        raise ValueError(f"unknown label code {strange[0]!r}; known codes are {sorted(LABEL_CODES.values())}")
     weight = F.lit(None).cast("double")
     for code, value in found.items():
         weight = F.when(F.col(label) == code, F.lit(value)).otherwise(weight)

@@ -1,8 +1,9 @@
 """Noun lemmas as a dictionary join.
 
 A term's candidates are the term itself and what the suffix rules make of it; the candidates found
-in a lexicon of known forms compete, and the shortest wins. All of it works on distinct terms; the
-result is then joined to the tokens.
+in a lexicon of known forms compete, and the shortest wins. All of it works on distinct terms. A
+row then looks up the distinct words of its own that may change, gets those that do as a small map,
+and applies it in place: words stay in their row, and a row needs no key of its own.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opinara.functions.rows import element_rows, struct_rows
 from opinara.functions.text import split_words
-from opinara.staging import PINNED_ROWS, pin, stage
+from opinara.staging import stage
 
 # Noun suffixes and their replacements, in order of preference.
 SUFFIX_RULES = (
@@ -65,8 +66,9 @@ def corpus_lexicon(df: DataFrame, text: str, min_docs: int = 2) -> DataFrame:
     return terms.groupBy("form").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("form")
 
 
-def term_frequencies(df: DataFrame, text: str) -> DataFrame:
-    tokens = element_rows(df, split_words(F.col(text)), "term")
+def term_frequencies(df: DataFrame, text: str, changeable_only: bool = False) -> DataFrame:
+    words = split_words(F.col(text))
+    tokens = element_rows(df, F.filter(words, can_change) if changeable_only else words, "term")
     return tokens.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -100,38 +102,31 @@ def lemma_table(terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame | No
     )
 
 
-def lemmatize(df: DataFrame, text: str, lemmas: DataFrame, id_col: str = "id") -> DataFrame:
-    """Replace every word of ``text`` by its lemma, keeping word order.
+#: Column that tells the rows of a written table apart.
+ROW = "__row"
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once, with a number per row."""
+    return stage(df.withColumn(ROW, F.monotonically_increasing_id()), name)
 
-    ``lemmas`` must list every term that may change, with its frequency: the most frequent ones
-    are broadcast, so no token that the shuffle join has to move is a hot key. Words it does not
-    list pass through.
-    """
-    lemmas = stage(lemmas, "lemmas")
-    listed = F.col("term").alias("term"), F.col("lemma").alias("lemma")
-    words = df.select(id_col, F.posexplode_outer(split_words(F.col(text))).alias("pos", "term"))
-    if lemmas.count() <= PINNED_ROWS:
-        resolved = words.join(F.broadcast(lemmas.select(*listed)), "term", "left")
-    else:
-        hot = pin(lemmas.orderBy(F.desc("n"), "term").limit(PINNED_ROWS), "hot-lemmas").select(*listed)
-        rare = lemmas.select(*listed).join(hot.select("term"), "term", "left_anti")
-        head = words.join(hot.withColumnRenamed("lemma", "hot_lemma"), "term", "left")
-        # Words that need no lookup get keys that match nothing and spread evenly.
-        spread = F.concat_ws(" ", F.lit(""), F.col(id_col).cast("string"), F.col("pos").cast("string"))
-        looked_up = F.col("hot_lemma").isNull() & _maybe_listed(lemmas)
-        key = F.when(looked_up, F.col("term")).otherwise(spread)
-        resolved = head.withColumn("key", key).join(
-            rare.select(F.col("term").alias("key"), F.col("lemma").alias("rare_lemma")), "key", "left"
-        ).withColumn("lemma", F.coalesce("hot_lemma", "rare_lemma"))
-    word = F.struct("pos", F.coalesce("lemma", "term").alias("word"))
-    texts = resolved.groupBy(id_col).agg(F.sort_array(F.collect_list(word)).alias("words")).select(
-        id_col, F.array_join("words.word", " ").alias("__lemmatized")
-    )
-    names = [F.col("__lemmatized").alias(text) if name == text else F.col(name) for name in df.columns]
-    return df.join(texts, id_col).select(names)
 
+def lemmatize(rows: DataFrame, text: str, lemmas: DataFrame, by_rule_only: bool = True) -> DataFrame:
+    """Replace every word of ``text`` by its lemma, keeping word order and every row.
 
-def _maybe_listed(lemmas: DataFrame) -> Column:
-    """Words that may be in the table: those with a rule ending, or all if it lists others."""
-    irregular = lemmas.where(~can_change(F.col("term"))).limit(1).collect()
-    return F.lit(True) if irregular else can_change(F.col("term"))
+    ``rows`` is a ``numbered`` table; the number is dropped. ``lemmas`` lists every term that may
+    change; words it does not list pass through. Without exceptions only words with a rule ending
+    are looked up (``by_rule_only``).
+    """
+    changed = stage(lemmas.where("lemma <> term").select("term", "lemma"), "lemmas")
+    words = split_words(F.col(text))
+    asked = element_rows(rows, F.array_distinct(F.filter(words, can_change) if by_rule_only else words), "term", ROW)
+    found = asked.join(changed, "term").groupBy(ROW).agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("__lemmas")
+    )
+    changed_text = F.array_join(
+        F.transform(words, lambda w: F.coalesce(F.try_element_at(F.col("__lemmas"), w), w)), " "
+    )
+    new = F.when(F.col("__lemmas").isNull(), F.col(text)).otherwise(changed_text)
+    names = [new.alias(c) if c == text else F.col(f"`{c}`") for c in rows.columns if c != ROW]
+    return rows.join(found, ROW, "left").select(names)

@@ -23,8 +23,8 @@ def dataset_overview(df: DataFrame) -> DataFrame:
 
 def missing_values(df: DataFrame) -> DataFrame:
     """``(column_name, n_missing, pct_missing)``."""
-    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"c_{c}") for c in df.columns])
-    entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c_{c}").alias("n_missing")) for c in df.columns])
+    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"c_{n}") for n, c in enumerate(df.columns)])
+    entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c_{n}").alias("n_missing")) for n, c in enumerate(df.columns)])
     share = F.try_divide(F.col("n_missing") * 100.0, F.col("n_rows"))
     return counts.select(F.inline(entries), "n_rows").select(
         "column_name", "n_missing", round_half_up(share, 3).alias("pct_missing")

@@ -36,7 +36,7 @@ def main() -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--format", default="csv")
     parser.add_argument("--id-column")
-    parser.add_argument("--subset", choices=sorted(SUBSETS), default="medium")
+    parser.add_argument("--subset", choices=sorted(SUBSETS), default="full")
     args = parser.parse_args()
     spark = build_session("opinara-prepare")
     rows = load_reviews(spark, args.input, args.format, args.id_column)

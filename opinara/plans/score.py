@@ -22,7 +22,6 @@ from opinara.operators.labels import decode_label
 from opinara.session import build_session
 from opinara.sources.reviews import read_table
 from opinara.sources.sinks import write_result
-from opinara.staging import stage
 
 
 @dataclass(frozen=True)
@@ -40,26 +39,23 @@ class Scorer:
         return not wants_lemmas(self.cleaning)
 
 
-def model_scores(df: DataFrame, scorer: Scorer, text_column: str, id_col: str | None = None) -> DataFrame:
+def model_scores(df: DataFrame, scorer: Scorer, text_column: str) -> DataFrame:
     """All columns plus ``prediction`` and ``score``; every row survives, null text scores as empty.
 
-    Without lemmas this is a chain of projections. With lemmas rows need an id; a table without
-    one is staged with a row number.
+    Without lemmas this is a chain of projections.
     """
     if text_column not in df.columns:
         raise ValueError(f"missing text column {text_column!r}; found columns {df.columns}")
     names = df.columns
-    if not scorer.row_by_row() and id_col is None:
-        df, id_col = stage(df.withColumn("__row", F.monotonically_increasing_id()), "rows"), "__row"
-    cleaned = clean_table(df, scorer.cleaning, text_column, "__clean", id_col or "id", scorer.lexicon)
+    cleaned = clean_table(df, scorer.cleaning, text_column, "__clean", scorer.lexicon)
     featured = scorer.terms.transform(cleaned, "__clean", "features")
     return scorer.model.score(featured).select(*names, "prediction", "score")
 
 
-def score(df: DataFrame, scorer: Scorer, text_column: str = "review", id_col: str | None = None) -> DataFrame:
+def score(df: DataFrame, scorer: Scorer, text_column: str = "review") -> DataFrame:
     """All columns plus ``predicted_label`` and ``confidence``, the probability of *positive*."""
     names = df.columns
-    return model_scores(df, scorer, text_column, id_col).select(
+    return model_scores(df, scorer, text_column).select(
         *names,
         decode_label(F.col("prediction")).alias("predicted_label"),
         confidence(F.col("score"), scorer).alias("confidence"),

@@ -16,16 +16,6 @@ NA_TOKENS = (
 POSITION = "__position"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to every core if it has fewer partitions than there are cores.
-
-    A scan of one small file is one task, and the text work that follows would run in it. A scan
-    with enough partitions, as any large table has, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_table(
     spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = True, na_to_null: bool = True
 ) -> DataFrame:
@@ -53,7 +43,11 @@ def read_table(
 
 def normalize_columns(df: DataFrame, required: tuple[str, ...] = REQUIRED_COLUMNS) -> DataFrame:
     """Strip and lower-case column names, then require ``required``."""
-    renamed = df.toDF(*[name.strip().lower() for name in df.columns])
+    names = [name.strip().lower() for name in df.columns]
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if twice:
+        raise ValueError(f"columns {df.columns} give {twice} more than once")
+    renamed = df.toDF(*names)
     missing = sorted(set(required) - set(renamed.columns))
     if missing:
         raise ValueError(f"missing column(s) {missing}; found columns {renamed.columns}")
@@ -71,10 +65,10 @@ def dedupe_reviews(df: DataFrame, text: str = "review", order: str = "id") -> Da
     third of the table sends one row per task. The hash leads the key, which keeps sorting and
     comparing cheap when texts share long beginnings.
     """
-    rest = [name for name in df.columns if name != text]
-    first = F.min_by(F.struct(*rest), F.col(order)).alias("first")
-    kept = df.groupBy(F.xxhash64(text).alias("text_hash"), F.col(text)).agg(first)
-    return kept.select([F.col(name) if name == text else F.col(f"first.{name}") for name in df.columns])
+    rest = [F.col(f"`{name}`") for name in df.columns if name != text]
+    first = F.min_by(F.struct(*rest), F.col(f"`{order}`")).alias("first")
+    kept = df.groupBy(F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`")).agg(first)
+    return kept.select([F.col(f"`{name}`") if name == text else F.col(f"first.`{name}`") for name in df.columns])
 
 
 def load_audit(raw: DataFrame, loaded: DataFrame) -> DataFrame:
@@ -111,7 +105,10 @@ def load_reviews(
         if wanted not in df.columns:
             raise ValueError(f"missing id column {id_col!r}; found columns {df.columns}")
         if fmt == "csv":
-            df = df.withColumn(wanted, F.col(wanted).cast("bigint"))
+            # Ids that are all numbers are numbers; any other ids stay text.
+            text_ids = df.where(F.col(f"`{wanted}`").isNotNull() & F.col(f"`{wanted}`").try_cast("bigint").isNull())
+            if text_ids.isEmpty():
+                df = df.withColumn(wanted, F.col(f"`{wanted}`").cast("bigint"))
         return dedupe_reviews(drop_missing(df.withColumnRenamed(wanted, "id")), order="id")
     df = dedupe_reviews(drop_missing(df), order=POSITION).drop(POSITION)
     return df.withColumn("id", F.md5("review")) if "id" not in df.columns else df

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from opinara.sources.reviews import read_table
+
 SPLITS = ("train", "val", "test")
 
 
@@ -15,9 +17,14 @@ def write_splits(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.format(fmt).save(path)
 
 
-def load_splits(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
-    """All splits, or one of them by partition pruning."""
-    df = spark.read.parquet(path)
+def load_splits(spark: SparkSession, path: str, name: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """All splits, or one of them by partition pruning. CSV ids that are all numbers become numbers."""
+    if fmt == "csv":
+        df = read_table(spark, path, "csv")
+        if "id" in df.columns and df.where(F.col("id").isNotNull() & F.col("id").try_cast("bigint").isNull()).isEmpty():
+            df = df.withColumn("id", F.col("id").cast("bigint"))
+    else:
+        df = spark.read.format(fmt).load(path)
     if name is None:
         return df
     if name not in SPLITS:

@@ -43,7 +43,7 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
-    return back.select(df.columns)
+    return back.select([f"`{name}`" for name in df.columns])
 
 
 def pin(df: DataFrame, name: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import os
+import random
 import sys
 
 import pytest
@@ -7,30 +8,15 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from opinara.session import build_session  # noqa: E402
 
-POSITIVE = (
-    "A warm and lovely story, I smiled from start to end!",
-    "Brilliant acting and a superb score, highly recommended.",
-    "One of the finest films of the decade, truly moving.",
-    "I loved the cast and the witty, touching script.",
-    "Gorgeous pictures and a gripping plot, a real treasure.",
-    "Funny, clever and kind; I would happily watch it again.",
-    "An excellent picture with a strong and hopeful message.",
-    "The characters were charming and the pace was perfect.",
-    "A joyful, uplifting evening for the whole family.",
-    "Wonderful direction, and the ending made me cheer.",
-)
-NEGATIVE = (
-    "A dull and lifeless story, I yawned from start to end!",
-    "Wooden acting and a grating score, not recommended.",
-    "One of the worst films of the decade, truly tedious.",
-    "I hated the cast and the clumsy, hollow script.",
-    "Ugly pictures and a confusing plot, a real letdown.",
-    "Boring, stupid and mean; I would never watch it again.",
-    "An awful picture with a weak and muddled message.",
-    "The characters were irritating and the pace was dreadful.",
-    "A miserable, depressing evening for the whole family.",
-    "Terrible direction, and the ending made me groan.",
-)
+TOPICS = "harbour lantern meadow ticket garden winter station river kitchen mirror violin market".split()
+PRAISE = "superb charming radiant splendid delightful".split()
+BLAME = "dull dreary stale clumsy lousy".split()
+
+
+def drawn_texts(words, seed):
+    """Ten texts of topic words with two or three of ``words``."""
+    draw = random.Random(seed)
+    return [" ".join(draw.sample(TOPICS, 6) + draw.sample(words, draw.choice([2, 3]))) + "." for _ in range(10)]
 
 
 @pytest.fixture(scope="session")
@@ -54,7 +40,7 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def review_rows(spark):
     """Sixty labelled rows, ten texts per class three times over, with an id."""
-    rows = [(t, "positive") for t in POSITIVE * 3] + [(t, "negative") for t in NEGATIVE * 3]
+    rows = [(t, "positive") for t in drawn_texts(PRAISE, 1) * 3] + [(t, "negative") for t in drawn_texts(BLAME, 2) * 3]
     return spark.createDataFrame(
         [(i, t, s) for i, (t, s) in enumerate(rows)], "id bigint, review string, sentiment string"
     )

@@ -68,3 +68,13 @@ def test_comparison_and_champion(spark):
     assert [r.model for r in ev.comparison(rows).orderBy("rank").collect()] == ["y", "z", "x"]
     assert ev.select_best(rows, "f1", ("z", "y")).first().model == "z"
     assert ev.select_best(rows, "roc_auc", ("y", "x")).first().model == "x"
+
+
+@pytest.mark.parametrize("per_range", [1_000_000, 2])
+def test_rows_without_a_score_take_no_part(spark, per_range):
+    rows = [("m", 1.0, 0.9), ("m", 0.0, 0.1), ("m", 1.0, 0.3), ("m", 0.0, 0.4), ("m", 1.0, 0.8)]
+    odd = [("m", 1.0, None), ("m", 0.0, float("nan")), ("m", 0.0, None)]
+    schema = "model string, label double, score double"
+    plain = ev.roc_auc(spark.createDataFrame(rows, schema), per_range=per_range).collect()
+    assert ev.roc_auc(spark.createDataFrame(rows + odd, schema), per_range=per_range).collect() == plain
+    assert plain[0].roc_auc == round(5 / 6, 4)

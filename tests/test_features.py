@@ -10,7 +10,7 @@ from opinara.operators.features import TermModel, fit_vocabulary, term_counts, t
 from opinara.operators.labels import check_labels, class_weights, with_class_weights
 from opinara.operators.naive_bayes import LinearClassifier, fit_naive_bayes
 
-TEXTS = ["great movie loved it", "terrible movie hated it it", "an okay movie overall", "", "zz"]
+TEXTS = ["amber lantern near it", "rusty lantern under it it", "an iron lantern upstairs", "", "zz"]
 
 
 @pytest.fixture(scope="module")
@@ -66,32 +66,32 @@ def test_document_bounds_as_counts_and_shares(docs):
         config = FeatureConfig(ngram_range=(1, 1), **options)
         return {r.term for r in fit_vocabulary(with_terms(docs, "clean_review", config), config).collect()}
 
-    assert kept(min_df=2, max_df=1.0) == {"movie", "it"}
+    assert kept(min_df=2, max_df=1.0) == {"lantern", "it"}
     assert kept(min_df=2, max_df=0.5) == {"it"}
-    assert kept(min_df=1, max_df=1) == {"great", "loved", "terrible", "hated", "an", "okay", "overall", "zz"}
-    assert kept(min_df=0.5, max_df=1.0) == {"movie"}
+    assert kept(min_df=1, max_df=1) == {"amber", "near", "rusty", "under", "an", "iron", "upstairs", "zz"}
+    assert kept(min_df=0.5, max_df=1.0) == {"lantern"}
 
 
 def test_ties_at_the_cap_go_by_term(docs):
     config = FeatureConfig(ngram_range=(1, 1), min_df=1, max_df=1.0, max_features=4)
     rows = fit_vocabulary(with_terms(docs, "clean_review", config), config).collect()
-    assert {r.term: r.idx for r in rows} == {"an": 0, "great": 1, "it": 2, "movie": 3}
+    assert {r.term: r.idx for r in rows} == {"amber": 0, "an": 1, "it": 2, "lantern": 3}
 
 
 def test_statistics_and_vocabulary_join(docs):
     config = FeatureConfig(ngram_range=(1, 1), min_df=2, max_df=1.0)
     terms = with_terms(docs, "clean_review", config)
     stats = {r.term: (r.df, r.cf) for r in term_statistics(terms).collect()}
-    assert stats["it"] == (2, 3) and stats["movie"] == (3, 3) and stats["zz"] == (1, 1)
+    assert stats["it"] == (2, 3) and stats["lantern"] == (3, 3) and stats["zz"] == (1, 1)
     joined = vocab_join(term_counts(terms), fit_vocabulary(terms, config)).collect()
-    assert {(r.id, r.term, r.n) for r in joined} == {(0, "it", 1), (1, "it", 2), (0, "movie", 1), (1, "movie", 1), (2, "movie", 1)}
+    assert {(r.id, r.term, r.n) for r in joined} == {(0, "it", 1), (1, "it", 2), (0, "lantern", 1), (1, "lantern", 1), (2, "lantern", 1)}
 
 
 def test_fit_reads_training_rows_only(docs):
     train = docs.where("id in (0, 2)")
     config = FeatureConfig(ngram_range=(1, 1), min_df=1, max_df=1.0)
     model = TermModel.fit(train, config)
-    assert not {"terrible", "hated", "zz"} & set(model.vocabulary)
+    assert not {"rusty", "under", "zz"} & set(model.vocabulary)
     want = brute_weights(TEXTS, config, fit_on=[0, 2])
     got = {(r.id, r.term): r.weight for r in model.weights(docs).collect()}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
@@ -141,6 +141,10 @@ def test_class_weights_and_labels(spark):
     rows = spark.createDataFrame([(1.0,)] * 3 + [(0.0,)], "label double")
     assert {r.label: r.weight for r in class_weights(rows).collect()} == {1.0: 4 / 6, 0.0: 2.0}
     assert with_class_weights(rows).selectExpr("sum(weight)").first()[0] == pytest.approx(4.0)
+    unlabelled = spark.createDataFrame([(1.0,), (0.0,), (None,), (None,), (None,)], "label double")
+    assert {r.label: r.weight for r in class_weights(unlabelled).collect()} == {1.0: 1.0, 0.0: 1.0}
+    with pytest.raises(ValueError, match="unknown label code 2.0"):
+        with_class_weights(spark.createDataFrame([(1.0,), (0.0,), (2.0,)], "label double"))
     with pytest.raises(ValueError, match="mixed"):
         check_labels(spark.createDataFrame([("mixed",)], "sentiment string"))
 

@@ -104,7 +104,7 @@ def features(split_rows):
 @pytest.mark.parametrize("name", ["logistic_regression", "linear_svm", "multinomial_nb", "random_forest", "sgd_linear"])
 def test_models_fit_save_and_repeat(spark, features, tmp_path, name):
     terms, rows = features
-    params = {"max_iter": 20, "class_weight": "balanced", "n_estimators": 5, "max_depth": 40, "alpha": 0.1}
+    params = {"max_iter": 20, "class_weight": "balanced", "n_estimators": 5, "max_depth": 30, "alpha": 0.1}
     fitted = rows.where("split = 'train'").select("id", "label", "features")
     model = model_fitter(name)(fitted, params, 42, len(terms.vocabulary))
     scored = [tuple(r) for r in model.score(fitted.select("id", "label", "features")).select("id", "prediction", "score").orderBy("id").collect()]
@@ -123,6 +123,20 @@ def test_bare_svm_scores_margins(features):
     assert model.score(rows).where((F.col("score") > 0) != (F.col("prediction") == 1)).count() == 0
 
 
+def test_deeper_trees_than_the_library_grows_are_refused(features):
+    terms, rows = features
+    fitted = rows.where("split = 'train'").select("id", "label", "features")
+    with pytest.raises(ValueError, match="30 levels"):
+        model_fitter("random_forest")(fitted, {"max_depth": 40}, 42, len(terms.vocabulary))
+
+
+def test_forest_uses_every_feature(features):
+    terms, rows = features
+    fitted = rows.where("split = 'train'").select("id", "label", "features")
+    model = model_fitter("random_forest")(fitted, {"n_estimators": 2}, 42, len(terms.vocabulary))
+    assert model.indices == list(range(len(terms.vocabulary)))
+
+
 def test_registry():
     assert {"logistic_regression", "linear_svm", "multinomial_nb", "random_forest", "sgd_linear"} <= set(MODELS)
     with pytest.raises(ValueError, match="choose one of"):

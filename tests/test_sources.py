@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from opinara.config import subset_size
+from opinara.operators.profiling import missing_values
 from opinara.sources.reviews import dedupe_reviews, drop_missing, load_audit, load_reviews, normalize_columns
 from opinara.sources.splits import load_splits, write_splits
 
@@ -56,3 +58,22 @@ def test_subset_names():
     assert subset_size("dev") == 2000 and subset_size("full") is None
     with pytest.raises(ValueError):
         subset_size("tiny")
+
+
+def test_text_ids_and_names_given_twice(spark, tmp_path):
+    path = str(tmp_path / "in.csv")
+    (tmp_path / "in.csv").write_text("Id,review,sentiment\na1,fine,positive\na2,poor,negative\n")
+    assert {r.id for r in load_reviews(spark, path, id_col="id").collect()} == {"a1", "a2"}
+    (tmp_path / "twice.csv").write_text("review,Review ,sentiment\nx,y,positive\n")
+    with pytest.raises(ValueError, match="more than once"):
+        load_reviews(spark, str(tmp_path / "twice.csv"))
+
+
+def test_csv_splits_and_dotted_names(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 'a "b"\nc', "positive", "train"), (2, "d", "negative", "test")], "id bigint, review string, sentiment string, split string")
+    write_splits(rows, str(tmp_path / "splits"), "csv")
+    back = load_splits(spark, str(tmp_path / "splits"), fmt="csv")
+    assert sorted(map(tuple, back.select(rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+    dotted = rows.withColumn("a.b", F.lit(None).cast("string"))
+    assert {r.column_name: r.n_missing for r in missing_values(dotted).collect()}["a.b"] == 2
+    assert dedupe_reviews(dotted).count() == 2

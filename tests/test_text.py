@@ -6,7 +6,7 @@ from opinara.functions.text import clean_expr
 from opinara.functions.tokens import char_wb_ngrams, word_ngrams, word_tokens, with_terms
 from opinara.functions.wordlists import CLEANER_STOPWORDS, COUNTER_STOPWORDS
 from opinara.operators.cleaning import clean_table, empty_after_clean
-from opinara.operators.lemmas import lemma_table, lemmatize, term_frequencies
+from opinara.operators.lemmas import lemma_table, lemmatize, numbered, term_frequencies
 
 
 def cleaned(spark, text, **options):
@@ -117,19 +117,32 @@ def test_lemma_exceptions(spark):
     assert got == {"geese": "goose", "movies": "movie", "cat": "cat"}
 
 
-@pytest.mark.parametrize("pinned", [10_000, 2])
-def test_lemmatize_keeps_order_and_empty_rows(spark, monkeypatch, pinned):
-    """Also when only the most frequent lemmas are broadcast."""
-    from opinara.operators import lemmas
-
-    monkeypatch.setattr(lemmas, "PINNED_ROWS", pinned)
+def test_lemmatize_keeps_order_and_empty_rows(spark):
     rows = spark.createDataFrame([(1, "two movies two boxes the cities"), (2, ""), (3, "boxes movies cat")], "id int, text string")
     lexicon = spark.createDataFrame([(w,) for w in LEXICON], "form string")
-    table = lemma_table(term_frequencies(rows, "text"), lexicon)
-    got = {r.id: r.text for r in lemmatize(rows, "text", table).collect()}
+    table = lemma_table(term_frequencies(rows, "text", changeable_only=True), lexicon)
+    got = {r.id: r.text for r in lemmatize(numbered(rows, "rows"), "text", table).collect()}
     assert got == {1: "two movie two box the city", 2: "", 3: "box movie cat"}
 
 
+def test_null_and_repeated_ids_keep_their_rows(spark):
+    rows = spark.createDataFrame(
+        [(1, "a dog"), (None, "two dogs"), (3, "cats"), (3, "dogs run"), (4, "the dog")], "id int, review string"
+    ).withColumn("a.b", F.lit(1))
+    out = clean_table(rows, CleaningConfig())
+    assert out.columns == [*rows.columns, "clean_review"]
+    got = sorted((r.id or 0, r.clean_review) for r in out.collect())
+    assert got == [(0, "two dog"), (1, "dog"), (3, "cats"), (3, "dog run"), (4, "dog")]
+
+
+def test_lemmas_shuffle_words_that_may_change_only(spark):
+    rows = numbered(spark.createDataFrame([(1, "two movies here"), (2, "boxes")], "id int, text string"), "rows")
+    lexicon = spark.createDataFrame([(w,) for w in LEXICON], "form string")
+    out = lemmatize(rows, "text", lemma_table(term_frequencies(rows, "text", True), lexicon))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and plan.count("explode") == 1 and "array_distinct" in plan
+
+
 def test_clean_table_with_corpus_lexicon(spark):
     rows = spark.createDataFrame([(1, "The cats!"), (2, "a cat"), (3, "One cat, two dogs"), (4, "!!!")], "id int, review string")
     out = clean_table(rows, CleaningConfig())
