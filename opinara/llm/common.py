@@ -18,6 +18,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def quoted(names: list[str]) -> list[str]:
+    """Names as references, whatever characters they hold."""
+    return [f"`{name}`" for name in names]
+
+
 def whole_text(text: str | Column = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.llm.common import KEY, digest, documents, with_key
+from opinara.llm.common import KEY, digest, documents, quoted, with_key
 from opinara.staging import stage
 
 #: Digests of a shard, on average.
@@ -194,7 +194,7 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Pipeline stage: the row of each distinct text that stays."""
     keyed = with_key(docs)
     kept = exact_dedup(keyed).where("kept").select(KEY)
-    return keyed.join(kept, KEY, "left_semi").select(docs.columns)
+    return keyed.join(kept, KEY, "left_semi").select(quoted(docs.columns))
 
 
 OP10_SQL = """

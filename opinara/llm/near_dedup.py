@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from opinara.llm.common import KEY, documents, with_key
+from opinara.llm.common import KEY, documents, quoted, with_key
 from opinara.llm.components import components
 from opinara.llm.shingles import WordCodes, codes_of, mixed, shingle_hashes, words_of
 from opinara.staging import stage
@@ -347,4 +347,4 @@ def keep_one_of_each_family(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """Pipeline stage: one document of each group of near copies stays."""
     keyed = with_key(docs)
     kept = near_components(keyed).where("kept").select(KEY)
-    return keyed.join(kept, KEY, "left_semi").select(docs.columns)
+    return keyed.join(kept, KEY, "left_semi").select(quoted(docs.columns))

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from opinara.llm.common import KEY, SPACE, WORD, documents, whole_text, with_key
+from opinara.llm.common import KEY, SPACE, WORD, documents, quoted, whole_text, with_key
 from opinara.staging import stage
 
 # Frequent function words of four languages.
@@ -241,7 +241,7 @@ def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Pipeline stage: documents that the rules reject go."""
     keyed = with_key(docs)
     good = quality_rules(keyed).where("kept").select(KEY)
-    return keyed.join(good, KEY, "left_semi").select(docs.columns)
+    return keyed.join(good, KEY, "left_semi").select(quoted(docs.columns))
 
 
 OP9_SQL = """

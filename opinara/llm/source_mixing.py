@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.llm.common import KEY, WORD, documents, ranked, whole_text, with_key
+from opinara.llm.common import KEY, WORD, documents, quoted, ranked, whole_text, with_key
 from opinara.staging import stage
 
 
@@ -155,8 +155,6 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document as often as the mix takes it, perhaps not at all."""
     keyed = with_key(docs)
-    taken = mix(keyed).where("copies > 0").select(F.col(KEY).alias("__taken"), "copies")
+    taken = mix(keyed).where("copies > 0").select(F.col(KEY).alias("__taken"), F.col("copies").cast("int").alias("__times"))
     repeated = keyed.join(taken, F.col(KEY) == F.col("__taken"))
-    return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        [keyed[c] for c in docs.columns]
-    )
+    return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(quoted(docs.columns))
