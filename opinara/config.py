@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, fields
 from typing import Any
 
 #: Named subset sizes; ``None`` keeps every row.
@@ -85,3 +86,43 @@ class TrainingConfig:
 
     def params_for(self, name: str) -> dict[str, Any]:
         return {**DEFAULT_MODEL_PARAMS.get(name, {}), **self.model_params.get(name, {})}
+
+
+@dataclass(frozen=True)
+class JobConfig:
+    """Everything a job may be told; a configuration file sets any part of it."""
+
+    split: SplitConfig = field(default_factory=SplitConfig)
+    profile: ProfileConfig = field(default_factory=ProfileConfig)
+    training: TrainingConfig = field(default_factory=TrainingConfig)
+
+
+_PARTS = {
+    "split": SplitConfig,
+    "profile": ProfileConfig,
+    "training": TrainingConfig,
+    "cleaning": CleaningConfig,
+    "features": FeatureConfig,
+}
+
+
+def filled(kind: type, values: dict[str, Any]) -> Any:
+    """``kind`` with ``values``; parts may be given as dictionaries, and unknown names are refused."""
+    known = {f.name for f in fields(kind)}
+    unknown = sorted(set(values) - known)
+    if unknown:
+        raise ValueError(f"unknown parameter(s) {unknown}; choose from {sorted(known)}")
+    return kind(
+        **{
+            name: filled(_PARTS[name], value) if name in _PARTS else tuple(value) if isinstance(value, list) else value
+            for name, value in values.items()
+        }
+    )
+
+
+def read_config(path: str | None) -> JobConfig:
+    """The configuration in a JSON file on the driver; the defaults without one."""
+    if path is None:
+        return JobConfig()
+    with open(path, encoding="utf-8") as source:
+        return filled(JobConfig, json.load(source))

@@ -1,6 +1,6 @@
 """Load, sample and split a labelled table.
 
-    python -m opinara.plans.prepare --input PATH --output DIR [--subset dev|medium|full]
+    python -m opinara.plans.prepare --input PATH --output DIR [--subset dev|medium|full] [--config FILE.json]
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ import argparse
 
 from pyspark.sql import DataFrame
 
-from opinara.config import SUBSETS, SplitConfig, subset_size
+from opinara.config import SUBSETS, SplitConfig, read_config, subset_size
 from opinara.operators.sampling import stratified_split, stratified_subset
 from opinara.session import build_session
 from opinara.sources.reviews import load_reviews
@@ -37,10 +37,13 @@ def main() -> None:
     parser.add_argument("--format", default="csv")
     parser.add_argument("--id-column")
     parser.add_argument("--subset", choices=sorted(SUBSETS), default="full")
+    parser.add_argument("--output-format", default="parquet")
+    parser.add_argument("--config", help="JSON file with split parameters")
     args = parser.parse_args()
+    split = read_config(args.config).split
     spark = build_session("opinara-prepare")
     rows = load_reviews(spark, args.input, args.format, args.id_column)
-    write_splits(prepare(rows, args.subset), args.output)
+    write_splits(prepare(rows, args.subset, split), args.output, args.output_format)
 
 
 if __name__ == "__main__":

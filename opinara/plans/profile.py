@@ -1,6 +1,6 @@
 """Profile a labelled table.
 
-    python -m opinara.plans.profile --splits DIR --output DIR
+    python -m opinara.plans.profile (--splits DIR | --input PATH) --output DIR [--config FILE.json]
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from opinara.config import CleaningConfig, ProfileConfig
+from opinara.config import ProfileConfig, read_config
 from opinara.operators import profiling as p
 from opinara.operators.cleaning import clean_table
 from opinara.operators.sampling import sample_reviews
 from opinara.session import build_session
+from opinara.sources.reviews import load_reviews
 from opinara.sources.sinks import write_result
 from opinara.sources.splits import load_splits
 from opinara.staging import stage
@@ -92,15 +93,25 @@ def profile_report(sections: dict[str, DataFrame]) -> DataFrame:
 
 
 def main() -> None:
-    parser = argparse.ArgumentParser(description="Profile the training rows.")
-    parser.add_argument("--splits", required=True)
+    parser = argparse.ArgumentParser(description="Profile the training rows, or a table without splits.")
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--splits")
+    source.add_argument("--input")
+    parser.add_argument("--format", default="csv", help="of --input")
+    parser.add_argument("--id-column", help="of --input")
     parser.add_argument("--output", required=True)
+    parser.add_argument("--config", help="JSON file with profile and cleaning parameters")
     args = parser.parse_args()
+    config = read_config(args.config)
     spark = build_session("opinara-profile")
-    splits = load_splits(spark, args.splits)
-    raw = load_splits(spark, args.splits, "train").select("id", "review", "sentiment")
-    clean = clean_table(raw, CleaningConfig())
-    report = profile_report(profile(raw, stage(clean, "clean"), splits))
+    if args.splits:
+        splits = load_splits(spark, args.splits)
+        raw = load_splits(spark, args.splits, "train").select("id", "review", "sentiment")
+    else:
+        splits = None
+        raw = stage(load_reviews(spark, args.input, args.format, args.id_column), "reviews")
+    clean = clean_table(raw, config.training.cleaning)
+    report = profile_report(profile(raw, stage(clean, "clean"), splits, config.profile))
     write_result(report, args.output, "json")
 
 

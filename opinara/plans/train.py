@@ -1,18 +1,18 @@
 """Train, compare and save models.
 
-    python -m opinara.plans.train --splits DIR --output DIR [--models NAME ...]
+    python -m opinara.plans.train --splits DIR --output DIR [--models NAME ...] [--config FILE.json]
 """
 
 from __future__ import annotations
 
 import argparse
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.config import DEFAULT_ACTIVE_MODELS, TrainingConfig
+from opinara.config import TrainingConfig, read_config
 from opinara.functions.text import clean_expr, wants_lemmas
 from opinara.operators.classifiers import model_fitter, save_model
 from opinara.operators.cleaning import clean_table
@@ -116,10 +116,13 @@ def main() -> None:
     parser = argparse.ArgumentParser(description="Train and compare models.")
     parser.add_argument("--splits", required=True)
     parser.add_argument("--output", required=True)
-    parser.add_argument("--models", nargs="+", default=list(DEFAULT_ACTIVE_MODELS))
+    parser.add_argument("--models", nargs="+")
+    parser.add_argument("--config", help="JSON file with training parameters")
     args = parser.parse_args()
+    config = read_config(args.config).training
+    if args.models:
+        config = replace(config, active_models=tuple(args.models))
     spark = build_session("opinara-train")
-    config = TrainingConfig(active_models=tuple(args.models))
     trained = train(load_splits(spark, args.splits), config)
     save(spark, trained, args.output)
     comparison(trained.validation).orderBy("rank").show(truncate=False)

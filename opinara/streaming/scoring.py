@@ -1,11 +1,17 @@
-"""Scoring a stream of texts."""
+"""Scoring a stream of texts.
+
+    python -m opinara.streaming.scoring --model DIR --input DIR --output DIR --checkpoint DIR
+"""
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from opinara.plans.score import Scorer, score
+from opinara.plans.score import Scorer, load_scorer, score
+from opinara.session import build_session
 
 
 def score_stream(stream: DataFrame, scorer: Scorer, text_column: str = "review") -> DataFrame:
@@ -33,3 +39,24 @@ def start_scoring(
 
         writer = stream.writeStream.foreachBatch(write_batch)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def main() -> None:
+    parser = argparse.ArgumentParser(description="Score the files that a folder has got since the last run.")
+    parser.add_argument("--model", required=True)
+    parser.add_argument("--model-name")
+    parser.add_argument("--input", required=True)
+    parser.add_argument("--output", required=True)
+    parser.add_argument("--checkpoint", required=True)
+    parser.add_argument("--format", default="parquet")
+    parser.add_argument("--text-column", default="review")
+    args = parser.parse_args()
+    spark = build_session("opinara-stream")
+    schema = spark.read.format(args.format).load(args.input).schema
+    stream = spark.readStream.schema(schema).format(args.format).load(args.input)
+    scorer = load_scorer(spark, args.model, args.model_name)
+    start_scoring(stream, scorer, args.output, args.checkpoint, args.text_column).awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.config import subset_size
+from opinara.config import JobConfig, read_config, subset_size
 from opinara.operators.profiling import missing_values
 from opinara.sources.reviews import dedupe_reviews, drop_missing, load_audit, load_reviews, normalize_columns
 from opinara.sources.splits import load_splits, write_splits
@@ -77,3 +77,20 @@ def test_csv_splits_and_dotted_names(spark, tmp_path):
     dotted = rows.withColumn("a.b", F.lit(None).cast("string"))
     assert {r.column_name: r.n_missing for r in missing_values(dotted).collect()}["a.b"] == 2
     assert dedupe_reviews(dotted).count() == 2
+
+
+def test_configuration_files(tmp_path):
+    path = tmp_path / "job.json"
+    path.write_text(
+        '{"split": {"test_size": 0.2}, "training": {"cleaning": {"strategy": "minimal"}, "features": {"ngram_range": [1, 1]},'
+        ' "active_models": ["multinomial_nb"], "model_params": {"multinomial_nb": {"alpha": 0.5}}}}'
+    )
+    config = read_config(str(path))
+    assert config.split.test_size == 0.2 and config.split.val_size == 0.15
+    assert config.training.cleaning.strategy == "minimal" and config.training.features.ngram_range == (1, 1)
+    assert config.training.active_models == ("multinomial_nb",)
+    assert config.training.params_for("multinomial_nb") == {"alpha": 0.5}
+    assert read_config(None) == JobConfig()
+    path.write_text('{"training": {"colour": 1}}')
+    with pytest.raises(ValueError, match="colour"):
+        read_config(str(path))
