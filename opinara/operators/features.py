@@ -29,14 +29,21 @@ def term_counts(docs: DataFrame, terms: str = "terms", id_col: str = "id") -> Da
 def term_statistics(docs: DataFrame, terms: str = "terms") -> DataFrame:
     """``(term, df, cf)``: documents with the term, and occurrences.
 
-    A row yields its terms once plain and once marked per distinct term, so both numbers come from
-    one map-side-combined aggregation on the term. Counting per document first would shuffle the
-    whole corpus.
+    A row yields each of its terms once, in order, marked where it differs from the one before, so
+    both numbers come from one map-side-combined aggregation on the term. Counting per document
+    first would shuffle the whole corpus.
     """
-    plain = F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
-    marked = F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
-    rows = struct_rows(docs, F.concat(plain, marked), required="first")
-    return rows.groupBy("term").agg(F.sum("first").alias("df"), F.sum(1 - F.col("first")).alias("cf"))
+
+    def marked(ordered: Column) -> Column:
+        return F.transform(
+            ordered,
+            lambda t, i: F.struct(t.alias("term"), F.when(F.get(ordered, i - 1) == t, 0).otherwise(1).alias("first")),
+        )
+
+    # The sorted terms are an element of an array, so that they are sorted once a row.
+    entries = F.get(F.transform(F.array(F.sort_array(terms)), marked), F.lit(0))
+    rows = struct_rows(docs, entries, required="first")
+    return rows.groupBy("term").agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("cf"))
 
 
 def _df_bound(limit: int | float, n_docs: Column) -> Column:

@@ -25,7 +25,8 @@ def order_key(id_col: str, seed: int) -> Column:
 
 
 def class_sizes(df: DataFrame, label: str) -> DataFrame:
-    return df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    labelled = df.where(F.col(label).isNotNull())
+    return labelled.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def measured(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
@@ -152,21 +153,23 @@ def split_quotas(sizes: DataFrame, rows: int, test: float, val: float) -> DataFr
 def stratified_split(
     df: DataFrame, test: float = 0.15, val: float = 0.15, label: str = "sentiment", id_col: str = "id", seed: int = 42
 ) -> DataFrame:
-    """Add ``split``: train, val or test, every class in proportion."""
+    """Add ``split``: train, val or test, every class in proportion; null for rows without a label."""
     sizes, rows, rounds = measured(df, label)
     quotas = split_quotas(sizes, rows, test, val)
     joined, held_out = assign_ranges(df, quotas, ("test", "val"), label, id_col, seed, rounds)
-    return joined.select(*df.columns, F.coalesce(held_out, F.lit("train")).alias("split"))
+    split = F.when(F.col(label).isNotNull(), F.coalesce(held_out, F.lit("train")))
+    return joined.select(*df.columns, split.alias("split"))
 
 
 def stratified_folds(df: DataFrame, folds: int, label: str = "label", id_col: str = "id", seed: int = 42) -> DataFrame:
-    """Add ``fold`` (0-based), every class spread evenly over the folds."""
+    """Add ``fold`` (0-based), every class spread evenly over the folds; null for rows without a label."""
     sizes, _, rounds = measured(df, label)
     names = tuple(str(i) for i in range(folds - 1))
     steps = [(F.lit(i), F.ceil(F.col("n") * (int(i) + 1) / folds)) for i in names]
     quotas = sizes.select("label", F.stack(F.lit(len(steps)), *[c for s in steps for c in s]).alias("cut", "rank"))
     joined, fold = assign_ranges(df, quotas, names, label, id_col, seed, rounds)
-    return joined.select(*df.columns, F.coalesce(fold, F.lit(str(folds - 1))).cast("int").alias("fold"))
+    number = F.when(F.col(label).isNotNull(), F.coalesce(fold, F.lit(str(folds - 1))).cast("int"))
+    return joined.select(*df.columns, number.alias("fold"))
 
 
 def sample_reviews(

@@ -14,7 +14,7 @@ from opinara.operators.classifiers import load_model
 from opinara.operators.cleaning import clean_table
 from opinara.operators.evaluation import comparison, confusion_matrix, metrics, roc_curve
 from opinara.operators.features import read_settings
-from opinara.operators.labels import encode_label
+from opinara.operators.labels import check_labels, encode_label
 from opinara.plans.score import load_scorer
 from opinara.plans.train import predictions
 from opinara.session import build_session
@@ -37,6 +37,7 @@ def held_out_predictions(
     wanted = [name for name in wanted if name in saved]
     if not wanted:
         raise ValueError(f"none of the models {names} is saved under {path}")
+    check_labels(rows)
     scorer = load_scorer(spark, path, wanted[0])
     labelled = rows.select("id", encode_label(F.col("sentiment")).alias("label"), "review")
     cleaned = clean_table(labelled, scorer.cleaning, lexicon=scorer.lexicon)
@@ -45,7 +46,6 @@ def held_out_predictions(
     return stage(predictions(features, models), "predictions")
 
 
-
 def evaluate(spark: SparkSession, path: str, rows: DataFrame, names: list[str] | None = None, write: bool = True) -> DataFrame:
     """Metrics per model, best first; optionally written with confusion cells and ROC points."""
     predicted = held_out_predictions(spark, path, rows, names)

@@ -87,3 +87,9 @@ def test_sample_is_reproducible(rows):
     ranked = sorted(range(1000), key=lambda i: (key(i), i))[:5]
     assert [r[0] for r in once] == sorted(ranked)
     assert rows.select(F.max("id")).first()[0] == 999
+
+
+def test_rows_without_a_label_are_left_out(spark):
+    rows = spark.createDataFrame([(i, "positive" if i < 40 else None) for i in range(80)], "id int, sentiment string")
+    counts = {r.split: r["count"] for r in stratified_split(rows).groupBy("split").count().collect()}
+    assert counts == {"train": 28, "val": 6, "test": 6, None: 40}
