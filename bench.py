@@ -26,6 +26,8 @@ HEADLINE = (
     "logistic_regression",
     "roc_auc",
     "predict_batch",
+    "profile_report",
+    "score_stream",
 )
 
 

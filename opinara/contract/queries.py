@@ -63,8 +63,20 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+#: Tables with texts, whose rows are worth dealing out.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table; one that is a single scan partition is dealt out to the cores.
+
+    Such a table is no larger than spark.sql.files.maxPartitionBytes, so what moves is bounded; any
+    larger table is read as its files are split.
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    if name in TEXT_TABLES and df.rdd.getNumPartitions() == 1:
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
