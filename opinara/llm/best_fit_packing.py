@@ -10,6 +10,7 @@ one or one for two with other sequences, as long as the sum of squared fills gro
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,8 +31,6 @@ class PackConfig:
     length: int = 1024
     #: Short pieces that one task packs, on average.
     group_pieces: int = 32_768
-    #: The search ends when so many sequences in a row could not be emptied.
-    patience: int = 64
 
 
 PIECE_SCHEMA = "key long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -84,66 +83,75 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 class SwapSearch:
-    """Sequences with room, and what each could give: single documents and pairs of documents."""
+    """Sequences with room, and what each could give: single documents and pairs of documents.
+
+    Offers are kept by their size, each list in the order of its sequences' room, so an exchange
+    looks at one list for every size and not at every offer.
+    """
 
     def __init__(self, bins: list[list[int]], lengths: np.ndarray, capacity: int):
         self.bins, self.lengths, self.capacity = bins, lengths, capacity
         self.fill = np.array([lengths[b].sum() for b in bins], np.int64)
-        self.at = np.zeros(0, np.int64)
-        self._collect()
+        #: Offers of at most one document, and pairs: (room, sequence, offer) by size, and the widest room.
+        self.offers: list[list[list[tuple]]] = [[[] for _ in range(capacity + 1)] for _ in range(2)]
+        self.widest = np.full((2, capacity + 1), -1, np.int64)
+        self.listed: dict[int, list[tuple[int, int, tuple]]] = {}
+        for at in range(len(bins)):
+            self._refresh(at)
 
     def _offers_of(self, at: int) -> list[tuple[int, ...]]:
-        """Nothing, each document, and pairs of documents, one of each size."""
-        singles = {int(self.lengths[i]): i for i in self.bins[at]}
-        firsts = list(singles.values())
+        """Nothing, a document of each size, and a pair of documents of each two sizes, equal ones too."""
+        by_size: dict[int, list[int]] = {}
+        for i in self.bins[at]:
+            by_size.setdefault(int(self.lengths[i]), []).append(i)
+        firsts = [same[-1] for same in by_size.values()]
         pairs = [(a, b) for n, a in enumerate(firsts) for b in firsts[:n]]
-        return [(), *((i,) for i in firsts), *pairs]
-
-    def _collect(self) -> None:
-        """Lay out the offers of all sequences with room."""
-        sizes, owners, self.given = [], [], []
-        self.slots: dict[int, list[int]] = {}
-        for at in np.flatnonzero((self.fill < self.capacity) & (self.fill > 0)).tolist():
-            for offer in self._offers_of(at):
-                self.slots.setdefault(at, []).append(len(sizes))
-                sizes.append(sum(int(self.lengths[i]) for i in offer))
-                owners.append(at)
-                self.given.append(offer)
-        self.size, self.owner = np.array(sizes, np.int64), np.array(owners, np.int64)
-        self.many = np.array([len(g) for g in self.given], np.int64)
+        twins = [(same[-1], same[-2]) for same in by_size.values() if len(same) > 1]
+        return [(), *((i,) for i in firsts), *pairs, *twins]
 
     def _refresh(self, at: int) -> None:
-        """Write the offers of a changed sequence over its old ones; spare places give nothing."""
-        slots = self.slots.get(at, [])
-        offers = self._offers_of(at) if self.fill[at] < self.capacity else []
-        for n, slot in enumerate(slots):
-            if n < len(offers):
-                self.given[slot] = offers[n]
-                self.size[slot] = sum(int(self.lengths[i]) for i in offers[n])
-                self.many[slot] = len(offers[n])
-            else:
-                self.size[slot] = self.capacity + 1
+        """List all offers of a changed sequence in place of its old ones."""
+        for kind, size, entry in self.listed.pop(at, ()):
+            same = self.offers[kind][size]
+            del same[bisect_left(same, entry)]
+            self.widest[kind, size] = same[-1][0] if same else -1
+        room = self.capacity - int(self.fill[at])
+        if not 0 < room < self.capacity:
+            return
+        listed = self.listed[at] = []
+        for offer in self._offers_of(at):
+            kind, size = int(len(offer) == 2), sum(int(self.lengths[i]) for i in offer)
+            entry = (room, at, offer)
+            insort(self.offers[kind][size], entry)
+            self.widest[kind, size] = self.offers[kind][size][-1][0]
+            listed.append((kind, size, entry))
 
     def _exchange(self, donor: int, out: tuple[int, ...]) -> bool:
         """Give ``out`` for the smallest offer of a sequence that then is no fuller than allowed."""
-        given = int(self.lengths[list(out)].sum())
-        gain = given - self.size
-        fill = self.fill[self.owner]
-        fits = (gain > 0) & (gain <= self.capacity - fill) & (fill + gain > self.fill[donor]) & (self.owner != donor)
-        fits &= self.many <= (2 if len(out) == 1 else 1)
-        where = np.flatnonzero(fits)
-        if not len(where):
-            return False
-        slot = where[np.lexsort((-fill[where], -gain[where]))[0]]
-        other, back = int(self.owner[slot]), self.given[slot]
-        moved = int(gain[slot])
-        self.bins[donor] = [i for i in self.bins[donor] if i not in out] + list(back)
-        self.bins[other] = [i for i in self.bins[other] if i not in back] + list(out)
-        self.fill[donor] -= moved
-        self.fill[other] += moved
-        self._refresh(donor)
-        self._refresh(other)
-        return True
+        given = sum(int(self.lengths[i]) for i in out)
+        spare = self.capacity - int(self.fill[donor])
+        widest = self.widest[0, :given] if len(out) == 2 else self.widest[:, :given].max(axis=0)
+        for size in np.flatnonzero(widest >= given - np.arange(given)).tolist():
+            gain, best = given - size, None
+            for kind in range(1 if len(out) == 2 else 2):
+                same = self.offers[kind][size]
+                for n in range(bisect_left(same, (gain,)), len(same)):
+                    # The other sequence ends up fuller than this one was, or squares would not grow.
+                    if same[n][0] >= spare + gain:
+                        break
+                    if same[n][1] != donor:
+                        best = same[n] if best is None else min(best, same[n])
+                        break
+            if best is not None:
+                _, other, back = best
+                self.bins[donor] = [i for i in self.bins[donor] if i not in out] + list(back)
+                self.bins[other] = [i for i in self.bins[other] if i not in back] + list(out)
+                self.fill[donor] -= gain
+                self.fill[other] += gain
+                self._refresh(donor)
+                self._refresh(other)
+                return True
+        return False
 
     def empty(self, donor: int) -> bool:
         """Exchange until the sequence is empty or nothing helps."""
@@ -153,22 +161,22 @@ class SwapSearch:
                 return False
         return True
 
-    def run(self, patience: int) -> list[list[int]]:
-        failed = 0
-        tried: set[int] = set()
+    def run(self) -> list[list[int]]:
+        """Try every sequence with room, the least filled first, unless no fewer sequences can hold all."""
+        tried = np.zeros(len(self.bins), bool)
         floor = -(-int(self.lengths.sum()) // self.capacity)
-        while failed < patience and np.count_nonzero(self.fill) > floor:
-            open_bins = [int(b) for b in np.flatnonzero(self.fill) if b not in tried and self.fill[b] < self.capacity]
-            if not open_bins:
+        while np.count_nonzero(self.fill) > floor:
+            fill = np.where(tried | (self.fill == 0), self.capacity, self.fill)
+            donor = int(fill.argmin())
+            if fill[donor] == self.capacity:
                 break
-            donor = min(open_bins, key=lambda b: (self.fill[b], b))
-            tried.add(donor)
-            failed = 0 if self.empty(donor) else failed + 1
+            tried[donor] = True
+            self.empty(donor)
         return [b for b in self.bins if b]
 
 
-def pack(lengths: np.ndarray, capacity: int, patience: int = 64) -> list[list[int]]:
-    return SwapSearch(best_fit(lengths, capacity), lengths, capacity).run(patience)
+def pack(lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    return SwapSearch(best_fit(lengths, capacity), lengths, capacity).run()
 
 
 def _pack_group(config: PackConfig):
@@ -176,7 +184,7 @@ def _pack_group(config: PackConfig):
         rows = rows.sort_values("uid", ignore_index=True)
         lengths = rows["length"].to_numpy()
         sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-        for number, items in enumerate(pack(lengths, config.length, config.patience)):
+        for number, items in enumerate(pack(lengths, config.length)):
             sequence[items] = (int(key[0]) << 32) + number
             offset[items] = np.cumsum(lengths[items]) - lengths[items]
         return rows.drop(columns=["group"]).assign(sequence_id=sequence, offset=offset)

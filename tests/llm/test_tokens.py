@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from opinara.llm import tokens
-from opinara.llm.best_fit_packing import PackConfig, best_fit, pack, pack_documents
+from opinara.llm.best_fit_packing import PackConfig, SwapSearch, best_fit, pack, pack_documents
 from opinara.llm.token_files import SequenceFile, TokenFileConfig, read_back, write_tokens
 from opinara.llm.tokens import Encoder, vocabulary_path
 
@@ -90,6 +90,29 @@ def test_swaps_empty_a_sequence():
     assert len(pack(lengths, 61)) <= len(best_fit(lengths, 61))
 
 
+def test_documents_of_equal_length_are_offered_as_a_pair():
+    search = SwapSearch([[0, 1, 2]], np.array([2, 2, 5]), 10)
+    assert sorted(sorted(int(search.lengths[i]) for i in o) for o in search._offers_of(0)) == [[], [2], [2, 2], [2, 5], [5]]
+
+
+def test_a_changed_sequence_lists_all_its_offers():
+    lengths = np.array([6, 1, 2, 3, 4])
+    search = SwapSearch([[0], [1, 2, 3, 4]], lengths, 12)
+    search.bins, search.fill = [[0, 1, 2], [3, 4]], np.array([9, 7])
+    for at in (0, 1):
+        search._refresh(at)
+        listed = [e for kind in search.offers for same in kind for e in same if e[1] == at]
+        assert sorted(e[2] for e in listed) == sorted(search._offers_of(at))
+        assert {e[0] for e in listed} == {12 - int(search.fill[at])}
+
+
+def test_search_goes_on_until_every_open_sequence_was_tried(monkeypatch):
+    tried, empty = [], SwapSearch.empty
+    monkeypatch.setattr(SwapSearch, "empty", lambda self, donor: tried.append(donor) or empty(self, donor))
+    lengths = np.full(200, 6)
+    assert len(pack(lengths, 10)) == 200 and sorted(tried) == list(range(200))
+
+
 def test_packed_documents(spark):
     whole = plain()
     rows = [(n, t, "", "", "") for n, t in enumerate(TEXTS * 4)]
