@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from opinara.llm.best_fit_packing import op2_best_fit_packing
 from opinara.llm.chained_passages import op8_chained_passages
 from opinara.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from opinara.llm.fill_in_middle import OP12_SQL, op12_fill_in_middle
 from opinara.llm.hilbert_sharding import op3_hilbert_sharding
 from opinara.llm.host_reputation import OP6_SQL, op6_host_reputation
 from opinara.llm.near_dedup import op5_near_dedup
@@ -28,10 +29,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chained_passages": op8_chained_passages,
     "op9_quality_rules": op9_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
     "op6_host_reputation": OP6_SQL,
     "op9_quality_rules": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
