@@ -196,8 +196,10 @@ def pack_documents(docs: DataFrame, config: PackConfig) -> DataFrame:
     """A row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     A null or empty text is one piece, its end id. A document is cut only if it is longer than a
-    sequence; its first piece then is the shorter one. Repeated rows are packed as often as they
-    come. An empty table gives no rows; other columns are ignored.
+    sequence, however long; its first piece then is the shorter one. Pieces of equal length are
+    interchangeable, so which of them lies where may differ from run to run. Repeated rows are
+    packed as often as they come, null ids too. An empty table gives no rows; other columns are
+    ignored.
     """
     keyed = with_key(docs).select(F.col(KEY).alias("key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     cut = keyed.mapInArrow(_pieces(config), PIECE_SCHEMA)
@@ -221,5 +223,9 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: where every piece of every remaining document lies."""
+    """Pipeline stage, the last: where every piece of every remaining document lies.
+
+    Null and empty texts are an end id each; repeated rows are packed as often as they come. An empty
+    table gives no rows.
+    """
     return pack_documents(docs, default_config())

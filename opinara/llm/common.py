@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from opinara.staging import stage
@@ -43,32 +45,67 @@ def ids_are_keys(df: DataFrame, id_col: str = "doc_id") -> bool:
     return repeated.isEmpty()
 
 
-def with_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with a unique, non-null ``__key`` that orders rows as ``id_col`` does.
+#: Marks the key column that ``with_key`` made in this process, and whether it is the id or a place.
+_MADE_OF = f"opinara.row_key.{uuid.uuid4().hex}"
+
+
+def _key_made_of(df: DataFrame) -> str | None:
+    return next((f.metadata.get(_MADE_OF) for f in df.schema.fields if f.name == KEY), None)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores until no column of ``taken`` has it."""
+    used = {other.lower() for other in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
 
-    The id itself where ids are unique. Otherwise the rows are written once, sorted by id (nulls
-    first) and text, and numbered in that order, so repeated rows and null ids keep a row each.
+def id_is_key(keyed: DataFrame) -> bool:
+    """Whether the key of a frame from ``with_key`` is the id itself."""
+    return _key_made_of(keyed) == "id"
+
+
+def with_key(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``df`` with a unique, non-null ``__key`` in front that orders rows as ``id_col`` does.
+
+    The id itself where ids are unique. Otherwise the rows are written once and numbered in the
+    order of id (null first) and of a digest of the whole row, so repeated rows and null ids keep a
+    row each, and reruns number them alike. A frame that has its key already is returned as it is;
+    a column of that name from elsewhere is set aside under another (see ``without_key``).
     """
-    if KEY in df.columns:
+    if _key_made_of(df):
         return df
+    aside = free_name(KEY, df.columns)
+    names = [aside if name.lower() == KEY else name for name in df.columns]
+    df = df.toDF(*names)
     if dict(df.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint") and ids_are_keys(df, id_col):
-        return df.withColumn(KEY, F.col(f"`{id_col}`").cast("bigint"))
-    order = [F.col(f"`{id_col}`"), F.sha2(whole_text(F.col(f"`{text_col}`")).cast("binary"), 256)]
-    placed = df.repartitionByRange(shuffle_width(df), *order, F.rand(7)).sortWithinPartitions(*order)
-    return stage(placed.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
+        return df.select(F.col(f"`{id_col}`").cast("bigint").alias(KEY, metadata={_MADE_OF: "id"}), *quoted(names))
+    # Rows that are equal in every column are interchangeable, so they may be dealt at random.
+    whole = F.sha2(F.to_json(F.struct(*quoted(names)), {"ignoreNullFields": "false"}).cast("binary"), 256)
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), whole.alias("whole"), F.struct(*quoted(names)).alias("row"))
+    places = ranked(rows, ["id", "whole"], "keyed", spread=True)
+    return places.select(F.col("rank").alias(KEY, metadata={_MADE_OF: "place"}), "row.*")
+
+
+def without_key(keyed: DataFrame, like: DataFrame) -> DataFrame:
+    """Rows of ``with_key(like)`` with the columns of ``like`` again."""
+    return keyed.drop(KEY).toDF(*like.columns)
 
 
 def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
+def ranked(df: DataFrame, order: list[str], name: str, spread: bool = False) -> DataFrame:
     """``df`` with ``rank`` (from 0) in the order of ``order``, written once.
 
     Rows are range-partitioned and numbered within partitions; the sizes of the partitions, a row
-    each, give the offsets. ``order`` has to be unique, or equal rows have to be interchangeable.
+    each, give the offsets. ``order`` has to be unique, or equal rows have to be interchangeable;
+    with ``spread``, many equal rows are dealt over several partitions.
     """
-    placed = df.repartitionByRange(shuffle_width(df), *order).sortWithinPartitions(*order)
+    dealt = [*order, F.rand(7)] if spread else order
+    placed = df.repartitionByRange(shuffle_width(df), *dealt).sortWithinPartitions(*order)
     staged = stage(placed.withColumn("__at", F.monotonically_increasing_id()), name)
     part, place = F.shiftright("__at", 33).alias("__part"), F.expr("__at & 8589934591").alias("__place")
     rows = staged.select("*", part, place)

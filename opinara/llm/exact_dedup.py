@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.llm.common import KEY, digest, documents, quoted, with_key
+from opinara.llm.common import KEY, digest, documents, with_key, without_key
 from opinara.staging import stage
 
 #: Digests of a shard, on average.
@@ -163,9 +163,10 @@ def exact_dedup(docs: DataFrame, is_history: F.Column | None = None) -> DataFram
 
     ``is_history`` tells the rows of the index from those looked up in it; without it, ids below
     the middle of their range are the history. Of equal texts the row with the largest id stays.
-    A null text is an empty one. Rows with a repeated or null id are ordered by text (null ids
-    first) and stay rows of their own, so exactly one of a group is kept. An empty table gives no
-    rows; other columns are ignored.
+    A null text is an empty one. Rows with a repeated or null id are ordered by a digest of the
+    row (null ids first) and stay rows of their own, so exactly one of a group is kept. Texts of any length are
+    told apart by their digest, which covers them whole. An empty table gives no rows; other columns
+    are ignored.
     """
     keyed = with_key(docs)
     if is_history is None:
@@ -191,10 +192,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the row of each distinct text that stays."""
+    """Pipeline stage: of equal texts, the row with the largest id stays.
+
+    Null and empty texts, repeated rows and null ids follow the operator's rule; all columns are
+    kept, whatever their names, and an empty table gives an empty one.
+    """
     keyed = with_key(docs)
     kept = exact_dedup(keyed).where("kept").select(KEY)
-    return keyed.join(kept, KEY, "left_semi").select(quoted(docs.columns))
+    return without_key(keyed.join(kept, KEY, "left_semi"), docs)
 
 
 OP10_SQL = """

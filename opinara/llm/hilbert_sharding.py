@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from opinara.llm.common import KEY, documents, ranked, whole_text, with_key
+from opinara.llm.common import KEY, documents, free_name, quoted, ranked, whole_text, with_key
 from opinara.staging import stage
 
 
@@ -83,8 +83,10 @@ def assign_shards(docs: DataFrame, config: ShardConfig = ShardConfig()) -> DataF
     """A row per row of ``docs``: key, id, size, checksum, ``law, shard, slot, grown_shard, curve``.
 
     The law is ``rows``: shards differ by one row at most. A null text has no bytes, and null
-    sources and languages are values of their own, the first. Repeated rows lie side by side. An
-    empty table gives no rows; other columns are ignored.
+    sources and languages are values of their own, the first. Ties along the curve are in the order
+    of checksum and id; repeated rows lie side by side. Equal texts of one source and language are a
+    run, which this law may split where a shard ends; those of other sources or languages lie
+    elsewhere. An empty table gives no rows; other columns are ignored.
     """
     text = whole_text()
     rows = with_key(docs).select(
@@ -119,12 +121,17 @@ def assign_shards(docs: DataFrame, config: ShardConfig = ShardConfig()) -> DataF
 
 
 def write_shards(docs: DataFrame, folder: str, config: ShardConfig = ShardConfig()) -> None:
-    """Write the rows of ``docs``, all columns, into a folder per shard, in the order of the curve."""
+    """Write the rows of ``docs``, all columns, into a folder per shard, in the order of the curve.
+
+    The folders' column is ``shard_number``, with underscores after it if ``docs`` has such a column.
+    """
     keyed = with_key(docs)
-    places = assign_shards(keyed, config).select(F.col(KEY).alias("__at"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
-    joined = keyed.join(places, F.col(KEY) == F.col("__at")).drop("__at", KEY)
-    ordered = joined.repartitionByRange("__shard", "__slot").sortWithinPartitions("__shard", "__slot").drop("__slot")
-    ordered.withColumnRenamed("__shard", "shard_number").write.partitionBy("shard_number").parquet(folder)
+    places = assign_shards(keyed, config).select(KEY, "shard", "slot")
+    rows = keyed.select(KEY, F.struct(*[F.col(c) for c in quoted(keyed.columns) if c != f"`{KEY}`"]).alias("row"))
+    ordered = rows.join(places, KEY).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    folder_column = free_name("shard_number", docs.columns)
+    named = ordered.select("row.*", "shard").toDF(*docs.columns, folder_column)
+    named.write.partitionBy(folder_column).parquet(folder)
 
 
 def op3_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from opinara.llm.common import KEY, documents, quoted, with_key
+from opinara.llm.common import KEY, documents, with_key, without_key
 from opinara.llm.components import components
 from opinara.llm.shingles import WordCodes, codes_of, mixed, shingle_hashes, words_of
 from opinara.staging import stage
@@ -297,7 +297,8 @@ def near_components(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     split at ASCII white space, A-Z lower-cased). A null text, or one without words, has an empty
     set and links with nothing; with fewer words than a shingle, the whole sequence is one.
     Repeated rows and null ids stay rows of their own (null ids first): the first of a component
-    is kept. An empty table gives no rows; other columns are ignored.
+    is kept. Texts of any length are compared by all their shingles. An empty table gives no rows;
+    other columns are ignored.
     """
     docs = with_key(docs)
     rows = features(docs, config)
@@ -344,7 +345,11 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_family(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near copies stays."""
+    """Pipeline stage: of each group of near copies, the document with the smallest id stays.
+
+    Null and empty texts, repeated rows and null ids follow the operator's rule; all columns are
+    kept, whatever their names, and an empty table gives an empty one.
+    """
     keyed = with_key(docs)
     kept = near_components(keyed).where("kept").select(KEY)
-    return keyed.join(kept, KEY, "left_semi").select(quoted(docs.columns))
+    return without_key(keyed.join(kept, KEY, "left_semi"), docs)

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from opinara.llm.common import KEY, SPACE, WORD, documents, quoted, whole_text, with_key
+from opinara.llm.common import KEY, SPACE, WORD, documents, whole_text, with_key, without_key
 from opinara.staging import stage
 
 # Frequent function words of four languages.
@@ -206,7 +206,8 @@ def quality_rules(docs: DataFrame, config: QualityConfig = QualityConfig()) -> D
     Null texts are empty and fail the base rules, as every text below ``min_words`` does. A null
     or unknown language has a reference of character classes only. A distance is null where its
     guard (length of the document, size of the reference) isn't met, and then rejects nothing.
-    Repeated rows are judged alike; an empty table gives no rows; other columns are ignored.
+    Texts of any length are measured whole, repeated rows are judged alike; an empty table gives no
+    rows; other columns are ignored.
     """
     rows = measure(with_key(docs), config)
     known = references(rows, config)
@@ -238,10 +239,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the rules reject go."""
+    """Pipeline stage: documents that the rules reject go.
+
+    Null and empty texts, repeated rows and null ids follow the operator's rule; all columns are
+    kept, whatever their names, and an empty table gives an empty one.
+    """
     keyed = with_key(docs)
     good = quality_rules(keyed).where("kept").select(KEY)
-    return keyed.join(good, KEY, "left_semi").select(quoted(docs.columns))
+    return without_key(keyed.join(good, KEY, "left_semi"), docs)
 
 
 OP9_SQL = """

@@ -130,8 +130,9 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
 
     Sources are in the order of their code points; rows without a source are one, the last. A null
     text has no words; rows without words get the whole part of their copies and change no sum.
-    Repeated rows take part as rows of their own. If no row has words, all targets are 0. An empty
-    table gives no rows; other columns are ignored.
+    Repeated rows take part as rows of their own. Texts of any length count all their words. Draws
+    depend on keys alone, so reruns agree, with repeated and null ids too. If no row has words, all
+    targets are 0. An empty table gives no rows; other columns are ignored.
     """
     rows = sized(docs)
     targets = source_targets(rows, config).withColumnRenamed("source", "of")
@@ -153,8 +154,12 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every document as often as the mix takes it, perhaps not at all."""
+    """Pipeline stage: every document as often as the mix takes it, perhaps not at all.
+
+    Null and empty texts, repeated rows and null ids follow the operator's rule; all columns are
+    kept, whatever their names, and an empty table gives an empty one.
+    """
     keyed = with_key(docs)
-    taken = mix(keyed).where("copies > 0").select(F.col(KEY).alias("__taken"), F.col("copies").cast("int").alias("__times"))
-    repeated = keyed.join(taken, F.col(KEY) == F.col("__taken"))
-    return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(quoted(docs.columns))
+    taken = mix(keyed).where("copies > 0").select(KEY, F.array_repeat(F.lit(1), F.col("copies").cast("int")).alias("times"))
+    rows = keyed.select(KEY, F.struct(*[F.col(c) for c in quoted(keyed.columns) if c != f"`{KEY}`"]).alias("row"))
+    return rows.join(taken, KEY).select("row", F.explode("times")).select("row.*").toDF(*docs.columns)
