@@ -80,9 +80,14 @@ def containment(a: np.ndarray, b: np.ndarray) -> float:
     return len(np.intersect1d(a, b, assume_unique=True)) / len(a) if len(a) else 1.0
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """Six bytes a hash."""
+    return hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
 def written(hashes: np.ndarray) -> str:
     """Twelve digits a hash."""
-    return hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes().hex()
+    return packed(hashes).hex()
 
 
 def read(fingerprint: str) -> np.ndarray:
@@ -117,16 +122,16 @@ def edited(text: str, following: str) -> str:
 
 _MEASURES = {
     "n_chars": pa.int64(),
-    "edited_sha256": pa.string(),
-    "fingerprint": pa.string(),
-    "edited_fingerprint": pa.string(),
+    "edited_sha256": pa.binary(),
+    "fingerprint": pa.binary(),
+    "edited_fingerprint": pa.binary(),
     "near_edited": pa.float64(),
     "near_next": pa.float64(),
     "contained_edited": pa.float64(),
     "contained_next": pa.float64(),
 }
 _MEASURE_COLUMNS = (
-    "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,"
+    "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary,"
     " near_edited double, near_next double, contained_edited double, contained_next double"
 )
 
@@ -135,7 +140,7 @@ def _compared(text: str, own: np.ndarray, following: str, after: np.ndarray, cod
     new = edited(text, following)
     made = own if new == text else sketch(new, codes, config)
     return (
-        len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), written(own), written(made),
+        len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).digest(), packed(own), packed(made),
         likeness(own, made), likeness(own, after), containment(own, made), containment(own, after),
     )
 
@@ -223,7 +228,9 @@ def sketch_neighbours(docs: DataFrame, config: SketchConfig = SketchConfig()) ->
     tails = staged.where("last_text is not null").select("doc_id", "part", "last_text").join(after, "part")
     pairs = tails.join(heads.withColumnRenamed("part", "next_part"), "next_part").select("doc_id", "last_text", "next_text")
     closed = pairs.mapInArrow(_closing(config), f"doc_id long, {_MEASURE_COLUMNS}")
-    return staged.where("last_text is null").select(closed.columns).union(closed)
+    whole = staged.where("last_text is null").select(closed.columns).union(closed)
+    # Bytes are half as long as digits on disk.
+    return whole.withColumns({c: F.lower(F.hex(c)) for c, kind in _MEASURES.items() if kind == pa.binary()})
 
 
 def op11_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
