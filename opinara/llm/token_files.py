@@ -160,7 +160,8 @@ def write_tokens(docs: DataFrame, folder: str, config: TokenFileConfig) -> DataF
     """Write the files in ascending order of ids; the index, written once.
 
     Files follow each other by ``part``. A null or empty text is its end id alone; null ids come
-    first, repeated ids in the order of their texts; an empty table gives an empty index.
+    first, repeated ids in the order of a digest of the row. A text may be longer than a record
+    batch and runs on in the next. Other columns are ignored; an empty table gives an empty index.
     """
     keyed = with_key(docs).select(KEY, F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = keyed.repartitionByRange(KEY).sortWithinPartitions(KEY).select("doc_id", "text")
