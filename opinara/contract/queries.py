@@ -67,14 +67,17 @@ def query(name: str) -> Callable[[Query], Query]:
 TEXT_TABLES = ("documents", "pages", "conversations")
 
 
+#: A table of texts up to this size may lie in one row group, which is one task however it is split.
+DEALT_BYTES = 64 << 20
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table; one that is a single scan partition is dealt out to the cores.
+    """A table; a small one with texts is dealt out to the cores, so what moves is bounded.
 
-    Such a table is no larger than spark.sql.files.maxPartitionBytes, so what moves is bounded; any
-    larger table is read as its files are split.
+    Any larger table is read as its files and row groups are split.
     """
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    if name in TEXT_TABLES and df.rdd.getNumPartitions() == 1:
+    if name in TEXT_TABLES and int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= DEALT_BYTES:
         return df.repartition(spark.sparkContext.defaultParallelism)
     return df
 
