@@ -7,7 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from opinara.config import CleaningConfig
 from opinara.functions.text import clean_expr, wants_lemmas
 from opinara.functions.wordlists import CLEANER_STOPWORDS
-from opinara.operators.lemmas import corpus_lexicon, lemma_table, lemmatize, numbered, term_frequencies
+from opinara.operators.lemmas import corpus_lexicon, lemma_table, lemmatize, lemmatize_in_place, numbered, term_frequencies
+
+
+class LexiconTooLarge(ValueError):
+    """The lexicon does not fit a projection; clean bounded batches instead."""
 
 
 def clean_table(
@@ -22,10 +26,18 @@ def clean_table(
 
     With lemmas on, ``lexicon(form)`` lists known forms; without one, the terms found in two or
     more rows of the cleaned table are used. Rows need no id; repeated and null ids are kept.
+    A stream needs a lexicon, which travels to its rows and decides every word in place.
     """
     df = df.withColumn(output_column, clean_expr(F.col(text_column).cast("string"), config))
     if not wants_lemmas(config):
         return df
+    if df.isStreaming:
+        if lexicon is None or exceptions is not None:
+            raise ValueError("a stream takes its lemmas from a lexicon alone")
+        lemmas_in_place = lemmatize_in_place(df, output_column, lexicon)
+        if lemmas_in_place is None:
+            raise LexiconTooLarge("the lexicon is too large for a stream's rows")
+        return lemmas_in_place
     # The lexicon, the term table and the replacement all read the cleaned words.
     rows = numbered(df, "words")
     if lexicon is None:

@@ -1,9 +1,10 @@
-"""Noun lemmas as a dictionary join.
+"""Noun lemmas by a dictionary.
 
 A term's candidates are the term itself and what the suffix rules make of it; the candidates found
-in a lexicon of known forms compete, and the shortest wins. All of it works on distinct terms. A
-row then looks up the distinct words of its own that may change, gets those that do as a small map,
-and applies it in place: words stay in their row, and a row needs no key of its own.
+in a lexicon of known forms compete, and the shortest wins. All of it works on distinct terms, of
+which those that change are a dictionary. Rows probe it in place (see ``dictionary``). Of one too
+large to travel, the most frequent terms travel, and only the rare words of a row are looked up by
+a join on the word, whose keys are all rare: a frequent word is never a key.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opinara.functions.rows import element_rows, struct_rows
 from opinara.functions.text import split_words
+from opinara.operators.dictionary import MOST_CHARS, MOST_ENTRIES, Lookup, dictionary
 from opinara.staging import stage
 
 # Noun suffixes and their replacements, in order of preference.
@@ -111,22 +113,71 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return stage(df.withColumn(ROW, F.monotonically_increasing_id()), name)
 
 
-def lemmatize(rows: DataFrame, text: str, lemmas: DataFrame, by_rule_only: bool = True) -> DataFrame:
+def _with_lemmas(rows: DataFrame, text: str, lemma: Lookup, may_change: Lookup) -> DataFrame:
+    """``text`` with ``lemma(word)`` for every word that may change; null leaves a word as it is."""
+    words = split_words(F.col(text))
+    new = F.transform(words, lambda w: F.when(may_change(w), F.coalesce(lemma(w), w)).otherwise(w))
+    return rows.withColumn(text, F.when(F.exists(words, may_change), F.array_join(new, " ")).otherwise(F.col(text)))
+
+
+def lemmatize(
+    rows: DataFrame, text: str, lemmas: DataFrame, by_rule_only: bool = True, most: int = MOST_ENTRIES
+) -> DataFrame:
     """Replace every word of ``text`` by its lemma, keeping word order and every row.
 
-    ``rows`` is a ``numbered`` table; the number is dropped. ``lemmas`` lists every term that may
-    change; words it does not list pass through. Without exceptions only words with a rule ending
-    are looked up (``by_rule_only``).
+    ``rows`` is a ``numbered`` table; the number is dropped. ``lemmas(term, lemma, n)`` lists every
+    term that may change; words it does not list pass through. Without exceptions only words with a
+    rule ending are looked up (``by_rule_only``). Up to ``most`` terms travel to the rows; no row is
+    exchanged unless there are more.
     """
-    changed = stage(lemmas.where("lemma <> term").select("term", "lemma"), "lemmas")
+    may_change: Lookup = can_change if by_rule_only else lambda word: F.lit(True)
+    known = stage(lemmas.select("term", "lemma", "n"), "lemmas")
+    changed = known.where("lemma <> term").select("term", "lemma")
+    lookup = dictionary(changed, "term", "lemma", most)
+    if lookup is not None:
+        return _with_lemmas(rows, text, lookup, may_change).drop(ROW)
+    return _lemmatize_tiered(rows, text, known, may_change, most)
+
+
+def _lemmatize_tiered(rows: DataFrame, text: str, known: DataFrame, may_change: Lookup, most: int) -> DataFrame:
+    """The ``most`` most frequent terms, changed or not, in place; all others by a join."""
+    tier = known.orderBy(F.desc("n"), "term").limit(most)
+    # Long terms may need fewer entries to stay within the bound of characters.
+    chars = tier.agg(F.max(F.char_length("term") + F.char_length("lemma"))).first()[0] or 1
+    tier = stage(known.orderBy(F.desc("n"), "term").limit(max(1, min(most, MOST_CHARS // chars))), "frequent-lemmas")
+    frequent = dictionary(tier, "term", "lemma", most)
     words = split_words(F.col(text))
-    asked = element_rows(rows, F.array_distinct(F.filter(words, can_change) if by_rule_only else words), "term", ROW)
+    rare = F.filter(words, lambda w: may_change(w) & frequent(w).isNull())
+    asked = element_rows(rows, F.array_distinct(rare), "term", ROW)
+    changed = known.where("lemma <> term").select("term", "lemma")
     found = asked.join(changed, "term").groupBy(ROW).agg(
         F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("__lemmas")
     )
-    changed_text = F.array_join(
-        F.transform(words, lambda w: F.coalesce(F.try_element_at(F.col("__lemmas"), w), w)), " "
-    )
-    new = F.when(F.col("__lemmas").isNull(), F.col(text)).otherwise(changed_text)
-    names = [new.alias(c) if c == text else F.col(f"`{c}`") for c in rows.columns if c != ROW]
-    return rows.join(found, ROW, "left").select(names)
+
+    def lemma(word: Column) -> Column:
+        return F.coalesce(frequent(word), F.try_element_at(F.col("__lemmas"), word))
+
+    return _with_lemmas(rows.join(found, ROW, "left"), text, lemma, may_change).drop(ROW, "__lemmas")
+
+
+def lemma_of(word: Column, known: Lookup) -> Column:
+    """The lemma of one word by the rules, given which forms are known; a word may be looked up
+    without any table of terms, as a stream needs it."""
+    found = F.filter(candidates(word), lambda c: known(c["form"]).isNotNull())
+    order = F.transform(found, lambda c: F.struct(c["round"].alias("round"), F.length(c["form"]).alias("chars"), c["place"].alias("place"), c["form"].alias("form")))
+    return F.array_min(order)["form"]
+
+
+#: Forms of a lexicon that may travel to every task.
+LEXICON_ENTRIES = MOST_ENTRIES
+
+
+def lemmatize_in_place(df: DataFrame, text: str, lexicon: DataFrame) -> DataFrame | None:
+    """As ``lemmatize`` by the rules alone, without a table of terms: a projection, for streams too.
+
+    None if the lexicon is too large to travel.
+    """
+    lookup = dictionary(lexicon.select("form", F.lit(True).alias("known")).distinct(), "form", "known", LEXICON_ENTRIES)
+    if lookup is None:
+        return None
+    return _with_lemmas(df, text, lambda word: lemma_of(word, lookup), can_change)

@@ -34,15 +34,11 @@ class Scorer:
     model_name: str
     lexicon: DataFrame | None = None
 
-    def row_by_row(self) -> bool:
-        """Whether scoring needs no join (lemmas are one)."""
-        return not wants_lemmas(self.cleaning)
-
 
 def model_scores(df: DataFrame, scorer: Scorer, text_column: str) -> DataFrame:
     """All columns plus ``prediction`` and ``score``; every row survives, null text scores as empty.
 
-    Without lemmas this is a chain of projections.
+    Without lemmas, and on a stream, this is a chain of projections.
     """
     if text_column not in df.columns:
         raise ValueError(f"missing text column {text_column!r}; found columns {df.columns}")

@@ -10,14 +10,17 @@ import argparse
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from opinara.operators.cleaning import LexiconTooLarge
 from opinara.plans.score import Scorer, load_scorer, score
 from opinara.session import build_session
 
 
 def score_stream(stream: DataFrame, scorer: Scorer, text_column: str = "review") -> DataFrame:
-    """A scored stream; stateless, so it needs a scorer without lemmas (see ``start_scoring``)."""
-    if not scorer.row_by_row():
-        raise ValueError("lemmas need a join per batch; use start_scoring")
+    """A scored stream, a chain of projections.
+
+    The lexicon of the saved model travels to the rows and decides the lemmas of every word in place,
+    whatever words the stream brings; ``LexiconTooLarge`` if it cannot (see ``start_scoring``).
+    """
     return score(stream, scorer, text_column)
 
 
@@ -26,13 +29,14 @@ def start_scoring(
 ) -> StreamingQuery:
     """Score what the source holds now and append it to ``out``; run again for what came since.
 
-    With lemmas, every micro-batch is scored as a table of its own and written under its number,
-    so a batch that is repeated after a failure replaces itself.
+    The file sink commits every file once, through restarts. Only if the lexicon is too large to
+    travel, every micro-batch is scored as a table of its own and written under its number, so a
+    batch that is repeated after a failure replaces itself.
     """
-    if scorer.row_by_row():
+    try:
         scored = score_stream(stream, scorer, text_column)
         writer = scored.writeStream.format(fmt).option("path", out)
-    else:
+    except LexiconTooLarge:
 
         def write_batch(batch: DataFrame, number: int) -> None:
             score(batch, scorer, text_column).write.mode("overwrite").format(fmt).save(f"{out}/batch={number}")

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,12 +152,31 @@ def test_lemmas_in_training_and_scoring(spark, split_rows, tmp_path):
     scorer = load_scorer(spark, str(tmp_path / "model"))
     rows = spark.createDataFrame([("superb scores",), ("dull stories",), (None,)], "review string")
     assert score(rows, scorer).count() == 3
-    with pytest.raises(ValueError, match="start_scoring"):
-        score_stream(rows, scorer)
-    rows.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    start_scoring(stream, scorer, str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+@pytest.mark.parametrize("most", [None, 0])
+def test_stream_with_lemmas_equals_batch_through_restarts(spark, split_rows, tmp_path, monkeypatch, most):
+    """Twice over new files, also where the lexicon is too large to travel."""
+    if most is not None:
+        monkeypatch.setattr("opinara.operators.lemmas.LEXICON_ENTRIES", most)
+    config = TrainingConfig(features=FEATURES, active_models=("multinomial_nb",))
+    scorer = train(split_rows, config).scorer()
+    more = spark.createDataFrame([(901, "superb gardens rivers"), (902, None), (903, "stations")], "id long, review string")
+    texts = split_rows.select(F.col("id").cast("long").alias("id"), "review").unionByName(more)
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    texts.where("id < 30").write.parquet(source)
+    for part in ("id >= 30", None):
+        stream = spark.readStream.schema(texts.schema).parquet(source)
+        run = start_scoring(stream, scorer, out, mark)
+        run.awaitTermination()
+        assert ("ForeachBatch" in str(run.lastProgress["sink"])) == (most is not None)
+        if part:
+            texts.where(part).write.mode("append").parquet(source)
+    got = sorted(map(str, map(tuple, spark.read.parquet(out).select("id", "review", "predicted_label", "confidence").collect())))
+    assert got == sorted(map(str, map(tuple, score(texts, scorer).collect())))
+    if most is None:
+        with pytest.raises(ValueError, match="lexicon alone"):
+            score_stream(spark.readStream.schema(texts.schema).parquet(source), replace(scorer, lexicon=None))
 
 
 def test_profile_report(split_rows):

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,8 @@ from opinara.functions.text import clean_expr
 from opinara.functions.tokens import char_wb_ngrams, word_ngrams, word_tokens, with_terms
 from opinara.functions.wordlists import CLEANER_STOPWORDS, COUNTER_STOPWORDS
 from opinara.operators.cleaning import clean_table, empty_after_clean
-from opinara.operators.lemmas import lemma_table, lemmatize, numbered, term_frequencies
+from opinara.operators.dictionary import dictionary
+from opinara.operators.lemmas import lemma_table, lemmatize, lemmatize_in_place, numbered, term_frequencies
 
 
 def cleaned(spark, text, **options):
@@ -135,12 +138,42 @@ def test_null_and_repeated_ids_keep_their_rows(spark):
     assert got == [(0, "two dog"), (1, "dog"), (3, "cats"), (3, "dog run"), (4, "dog")]
 
 
-def test_lemmas_shuffle_words_that_may_change_only(spark):
+def test_a_small_dictionary_is_probed_in_the_row(spark):
     rows = numbered(spark.createDataFrame([(1, "two movies here"), (2, "boxes")], "id int, text string"), "rows")
     lexicon = spark.createDataFrame([(w,) for w in LEXICON], "form string")
     out = lemmatize(rows, "text", lemma_table(term_frequencies(rows, "text", True), lexicon))
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "posexplode" not in plan and plan.count("explode") == 1 and "array_distinct" in plan
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "from_json" not in plan
+    assert sorted(map(tuple, out.collect())) == [(1, "two movie here"), (2, "box")]
+
+
+@pytest.mark.parametrize("most", [1, 3, 6])
+def test_a_large_dictionary_keeps_frequent_words_in_the_row(spark, most):
+    draw = random.Random(most)
+    texts = [" ".join(draw.choices([*LEMMAS, "is", "was"], k=draw.randrange(12))) for _ in range(200)]
+    rows = numbered(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "rows")
+    lexicon = spark.createDataFrame([(w,) for w in [*LEXICON, "is", "was"]], "form string")
+    table = lemma_table(term_frequencies(rows, "text", True), lexicon)
+    want = sorted(map(tuple, lemmatize(rows, "text", table).collect()))
+    tiered = lemmatize(rows, "text", table, most=most)
+    assert sorted(map(tuple, tiered.collect())) == want
+    assert {r[0]: r[1] for r in want} == {i: " ".join(LEMMAS.get(w, w) if w.endswith(("s", "men")) else w for w in t.split()) for i, t in enumerate(texts)}
+    assert "Join" in tiered._jdf.queryExecution().optimizedPlan().toString()
+    in_place = lemmatize_in_place(rows.drop("__row"), "text", lexicon)
+    assert sorted(map(tuple, in_place.collect())) == want
+
+
+def test_dictionary_keys_and_bounds(spark):
+    entries = {"a": 1, 'q"\\\n': 2, "é\U0001f600": 3, "": 4, "'": 5} | {f"w{i}": i for i in range(300)}
+    table = spark.createDataFrame(list(entries.items()), "k string, v int")
+    lookup = dictionary(table, "k", "v")
+    asked = spark.createDataFrame([(w,) for w in [*entries, "absent", None]], "w string")
+    got = {r.w: r.v for r in asked.select("w", lookup(F.col("w")).alias("v")).collect()}
+    assert got == entries | {"absent": None, None: None}
+    assert dictionary(table, "k", "v", most=304) is None and dictionary(table, "k", "v", chars=20) is None
+    assert dictionary(table, "k", "v", most=305) is not None
+    none = dictionary(table.limit(0), "k", "v")
+    assert asked.select(none(F.col("w")).alias("v")).where("v is not null").count() == 0
 
 
 def test_clean_table_with_corpus_lexicon(spark):
