@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from opinara.config import FeatureConfig
 from opinara.functions.rows import element_rows, struct_rows
 from opinara.functions.tokens import with_terms
+from opinara.operators.recurrence import without_single_terms
 
 
 def term_counts(docs: DataFrame, terms: str = "terms", id_col: str = "id") -> DataFrame:
@@ -51,10 +52,30 @@ def _df_bound(limit: int | float, n_docs: Column) -> Column:
     return F.lit(limit) if isinstance(limit, int) else F.lit(float(limit)) * n_docs
 
 
-def fit_vocabulary(docs: DataFrame, config: FeatureConfig, terms: str = "terms") -> DataFrame:
+#: From so many bytes of input on, a pass that spares terms of one document the shuffle is made.
+SPARED_BYTES = 1 << 30
+
+
+def input_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a plan's size."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def fit_vocabulary(
+    docs: DataFrame, config: FeatureConfig, terms: str = "terms", spare_singles: bool | None = None
+) -> DataFrame:
     """``(term, idx, df, cf, idf)``: the ``max_features`` most frequent terms within the document
-    frequency bounds, indexed alphabetically. Equal frequencies go by term."""
+    frequency bounds, indexed alphabetically. Equal frequencies go by term.
+
+    Where a term needs two documents, ``spare_singles`` keeps terms of one out of the shuffle (see
+    ``recurrence``); it changes no row. Unless told, large inputs do so: the pass pays where rows
+    cross a network.
+    """
     n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    if spare_singles is None:
+        spare_singles = input_bytes(docs) >= SPARED_BYTES
+    if spare_singles and isinstance(config.min_df, int) and config.min_df >= 2:
+        docs = without_single_terms(docs, terms)
     kept = (
         term_statistics(docs, terms)
         .crossJoin(F.broadcast(n_docs))

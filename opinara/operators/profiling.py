@@ -9,6 +9,7 @@ from opinara.functions.rows import element_rows
 from opinara.functions.text import split_words
 from opinara.functions.tokens import without_stopwords, word_ngrams, word_tokens
 from opinara.functions.wordlists import COUNTER_STOPWORDS
+from opinara.operators.heavy_hitters import most_frequent
 
 QUARTILES = (0.25, 0.5, 0.75)
 STATS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -166,9 +167,12 @@ def top_words(df: DataFrame, text: str = "clean_review", k: int = 25) -> DataFra
 
 
 def top_ngrams(df: DataFrame, text: str = "clean_review", low: int = 2, high: int = 3, k: int = 20) -> DataFrame:
-    """As ``top_words`` for n-grams over the words left after stop words are gone."""
-    grams = element_rows(counted_tokens(df, text), word_ngrams(F.col("tokens"), low, high), "term")
-    return _most_frequent(grams, k)
+    """As ``top_words`` for n-grams over the words left after stop words are gone.
+
+    N-grams are mostly rare, so only those that can be among the first are shuffled
+    (``heavy_hitters``).
+    """
+    return most_frequent(counted_tokens(df, text), word_ngrams(F.col("tokens"), low, high), k)
 
 
 def class_term_freq(df: DataFrame, text: str = "clean_review", label: str = "sentiment", k: int = 150) -> DataFrame:
