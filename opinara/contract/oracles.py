@@ -594,7 +594,9 @@ FROM (SELECT CASE sentiment WHEN 'positive' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE EN
     "roc_auc": "SELECT variant, split, roc_auc FROM areas",
     "roc_curve": f"""SELECT variant, split, {rounded('score', 6)} AS threshold,
        {rounded('(CAST(neg_from AS DOUBLE) / n_neg)', 6)} AS fpr, {rounded('(CAST(pos_from AS DOUBLE) / n_pos)', 6)} AS tpr
-FROM ranked UNION ALL SELECT DISTINCT variant, split, CAST(NULL AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE FROM ranked""",
+FROM (SELECT *, lag(score) OVER w AS before, lead(pos) OVER w AS pos_next, lead(neg) OVER w AS neg_next FROM ranked
+      WINDOW w AS (PARTITION BY variant, split ORDER BY score DESC))
+WHERE before IS NULL OR pos_next IS NULL OR pos_next <> pos OR neg_next <> neg UNION ALL SELECT DISTINCT variant, split, CAST(NULL AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE FROM ranked""",
     "score_column": f"SELECT variant, split, id, {probability(digits=6)} AS score FROM variants",
     "comparison_table": f"SELECT {_METRIC_COLUMNS}, {_RANK} FROM metrics WHERE split = 'val' AND cut = 'median'",
     "model_comparison": f"SELECT {_METRIC_COLUMNS}, {_RANK} FROM metrics WHERE split = 'test' AND cut = 'zero'",

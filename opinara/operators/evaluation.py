@@ -82,13 +82,19 @@ def score_range(counts: DataFrame, n_scores: int, per_range: int) -> DataFrame:
 
 def ranked_scores(df: DataFrame, by: Sequence[str], per_range: int = SCORES_PER_RANGE) -> DataFrame:
     """``(*by, score, pos, neg, pos_from, neg_from, n_pos, n_neg)`` where ``pos_from`` and
-    ``neg_from`` count rows scored at or above ``score``.
+    ``neg_from`` count rows scored at or above ``score``."""
+    return _ranked(df, by, per_range).drop("part", "above", "next_head")
+
+
+def _ranked(df: DataFrame, by: Sequence[str], per_range: int) -> DataFrame:
+    """As ``ranked_scores``, with the score's range, the one above, and the first step of the next.
 
     A running sum per score range, plus the totals of the ranges above it.
     """
     counts = stage(score_counts(df, by), "scores")
     counts = score_range(counts, counts.count(), per_range)
-    totals = counts.groupBy(*by, "part").agg(F.sum("pos").alias("part_pos"), F.sum("neg").alias("part_neg"))
+    head = F.max_by(F.struct("pos", "neg"), "score").alias("head")
+    totals = counts.groupBy(*by, "part").agg(F.sum("pos").alias("part_pos"), F.sum("neg").alias("part_neg"), head)
     down = W.partitionBy(*by).orderBy(F.desc("part"))
     whole = W.partitionBy(*by)
     offsets = totals.select(
@@ -98,6 +104,8 @@ def ranked_scores(df: DataFrame, by: Sequence[str], per_range: int = SCORES_PER_
         (F.sum("part_neg").over(down) - F.col("part_neg")).alias("neg_above"),
         F.sum("part_pos").over(whole).alias("n_pos"),
         F.sum("part_neg").over(whole).alias("n_neg"),
+        F.lag("part").over(down).alias("above"),
+        F.lead("head").over(down).alias("next_head"),
     )
     within = W.partitionBy(*by, "part").orderBy(F.desc("score"))
     return counts.join(offsets, [*by, "part"]).select(
@@ -109,9 +117,25 @@ def ranked_scores(df: DataFrame, by: Sequence[str], per_range: int = SCORES_PER_
         (F.sum("neg").over(within) + F.col("neg_above")).alias("neg_from"),
         "n_pos",
         "n_neg",
+        "part",
+        "above",
+        "next_head",
     )
 
 
+def _corners(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The first and last score of each group, and those whose step differs from the next one's.
+
+    A point between two equal steps lies on the line through its neighbours. The step after the
+    last score of a range is the first one of the next range below.
+    """
+    within = W.partitionBy(*by, "part").orderBy(F.desc("score"))
+    step = F.struct("pos", "neg")
+    following = F.coalesce(F.lead(step).over(within), F.col("next_head"))
+    first = F.lag("score").over(within).isNull() & F.col("above").isNull()
+    return ranked.withColumn("corner", first | following.isNull() | (following != step)).where("corner")
+
+
 def roc_auc(df: DataFrame, by: Sequence[str] = ("model",), per_range: int = SCORES_PER_RANGE) -> DataFrame:
     """``(*by, roc_auc)``: the share of positive-negative pairs ranked right, ties counting half;
     null if a group has one class only."""
@@ -122,9 +146,13 @@ def roc_auc(df: DataFrame, by: Sequence[str] = ("model",), per_range: int = SCOR
     return ranked_scores(df, by, per_range).groupBy(*by).agg(round_half_up(area, METRIC_DIGITS).alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame, by: Sequence[str] = ("model",), per_range: int = SCORES_PER_RANGE) -> DataFrame:
-    """``(*by, threshold, fpr, tpr)``, one point per distinct score and the origin (null threshold)."""
-    points = ranked_scores(df, by, per_range).select(
+def roc_curve(
+    df: DataFrame, by: Sequence[str] = ("model",), per_range: int = SCORES_PER_RANGE, corners_only: bool = True
+) -> DataFrame:
+    """``(*by, threshold, fpr, tpr)``: the origin (null threshold) and a point per distinct score, without
+    those that lie between equal steps unless all are asked for."""
+    ranked = _ranked(df, by, per_range)
+    points = (_corners(ranked, by) if corners_only else ranked).select(
         *by,
         F.col("score").alias("threshold"),
         F.try_divide(F.col("neg_from").cast("double"), F.col("n_neg")).alias("fpr"),

@@ -10,6 +10,7 @@ from opinara.functions.text import split_words
 from opinara.functions.tokens import without_stopwords, word_ngrams, word_tokens
 from opinara.functions.wordlists import COUNTER_STOPWORDS
 from opinara.operators.heavy_hitters import most_frequent
+from opinara.operators.ranking import top_per_group
 
 QUARTILES = (0.25, 0.5, 0.75)
 STATS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -71,17 +72,36 @@ def value_counts(df: DataFrame, value: Column, *by: str) -> DataFrame:
     return df.groupBy(*by, value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _merged_moments(entries: Column) -> Column:
+    """``(n, mean, squares)`` of ``(n, value)`` entries: count, mean and squared deviations from it.
+
+    The update for two parts moves the mean by the difference of their means and never subtracts
+    sums of squares, so values far from zero keep their deviation.
+    """
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+
+    def merge(state: Column, entry: Column) -> Column:
+        n, m = state["n"], entry["n"].cast("double")
+        total, apart = n + m, entry["value"].cast("double") - state["mean"]
+        return F.struct(
+            total.alias("n"), (state["mean"] + apart * (m / total)).alias("mean"),
+            (state["squares"] + apart * apart * (n * m / total)).alias("squares"),
+        )
+
+    return F.aggregate(F.sort_array(entries), start, merge)
+
+
 def describe(counts: DataFrame, *by: str) -> DataFrame:
     """count, mean, sample deviation, minimum, quartiles and maximum of a frequency table."""
-    value, n = F.col("value").cast("double"), F.col("n")
+    n = F.col("n")
+    # Distinct values with their numbers: as many as there are lengths, which the quartiles hold too.
     joined = counts.groupBy(*by).agg(
-        F.sum("n").alias("count"), F.sum(value * n).alias("total"), F.sum(value * value * n).alias("squares"),
+        F.sum("n").alias("count"), _merged_moments(F.collect_list(F.struct("n", "value"))).alias("moments"),
         F.min("value").alias("min"), F.percentile("value", list(QUARTILES), n).alias("q"), F.max("value").alias("max"),
     )
-    spread = F.greatest(F.col("squares") - F.col("total") * F.col("total") / F.col("count"), F.lit(0.0))
-    std = F.sqrt(F.try_divide(spread, (F.col("count") - 1).cast("double")))
+    std = F.sqrt(F.try_divide(F.col("moments.squares"), (F.col("count") - 1).cast("double")))
     columns = {
-        "count": F.col("count").cast("double"), "mean": F.col("total") / F.col("count"), "std": std,
+        "count": F.col("count").cast("double"), "mean": F.col("moments.mean"), "std": std,
         "min": F.col("min").cast("double"), "q25": F.col("q")[0], "q50": F.col("q")[1],
         "q75": F.col("q")[2], "max": F.col("max").cast("double"),
     }
@@ -178,13 +198,12 @@ def top_ngrams(df: DataFrame, text: str = "clean_review", low: int = 2, high: in
 def class_term_freq(df: DataFrame, text: str = "clean_review", label: str = "sentiment", k: int = 150) -> DataFrame:
     """``(label, term, n, weight)``: each label's ``k`` most frequent words, weighted against its first.
 
-    The rank filter is applied per task before the shuffle on the label.
+    A label's terms are ranked in buckets first (``top_per_group``).
     """
     labelled = df.where(F.col(label).isNotNull())
     tokens = element_rows(counted_tokens(labelled, text), F.col("tokens"), "term", label)
     counts = tokens.groupBy(label, "term").agg(F.count(F.lit(1)).alias("n"))
-    order = W.partitionBy(label).orderBy(F.desc("n"), "term")
-    top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    top = top_per_group(counts, [label], [F.desc("n"), F.col("term")], "term", k)
     weight = F.col("n") / F.max("n").over(W.partitionBy(label))
     return top.select(label, "term", "n", round_half_up(weight, 6).alias("weight"))
 

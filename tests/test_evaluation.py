@@ -48,6 +48,35 @@ def test_auc_and_curve_over_score_ranges(scored, per_range):
     assert whole == sorted(map(str, ev.roc_curve(scored, per_range=per_range).collect()))
 
 
+@pytest.mark.parametrize("per_range", [1_000_000, 7, 1])
+def test_curve_keeps_corners_and_its_area(spark, per_range):
+    draw = random.Random(per_range)
+    rows = [("m", float(draw.random() < 0.4 + 0.5 * (s > 30)), 0.0, s / 64) for s in range(64) for _ in range(draw.choice([1, 1, 1, 2, 3]))]
+    rows += [("one", 1.0, 0.0, 0.5), ("two", 1.0, 0.0, 0.5), ("two", 0.0, 0.0, 0.25)]
+    df = spark.createDataFrame(rows, "model string, label double, prediction double, score double")
+
+    def points(**options):
+        found = ev.roc_curve(df, per_range=per_range, **options).collect()
+        return sorted((r.model, -2.0 if r.threshold is None else -r.threshold, r.fpr, r.tpr) for r in found)
+
+    every, corners = points(corners_only=False), points()
+    assert set(corners) < set(every) and len([p for p in corners if p[0] != "m"]) == 5
+    by_score = {}
+    for _, y, _, s in rows[: len(rows) - 3]:
+        pos, neg = by_score.get(s, (0, 0))
+        by_score[s] = pos + (y == 1), neg + (y == 0)
+    down = sorted(by_score, reverse=True)
+    steps = [by_score[s] for s in down]
+    kept = [s for i, s in enumerate(down) if i == 0 or i == len(down) - 1 or steps[i] != steps[i + 1]]
+    assert [-p[1] for p in corners if p[0] == "m" and p[1] != -2.0] == kept
+
+    def area(found):
+        line = [(x, y) for m, _, x, y in found if m == "m"]
+        return sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(line, line[1:]))
+
+    assert area(corners) == pytest.approx(area(every), abs=1e-12)
+
+
 def test_confusion_lists_empty_cells(spark):
     rows = spark.createDataFrame([("m", 1.0, 1.0, 0.9)], "model string, label double, prediction double, score double")
     cells = {(r.actual, r.predicted): r.n for r in ev.confusion_matrix(rows).collect()}

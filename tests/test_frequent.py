@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from opinara.config import FeatureConfig
 from opinara.operators.features import fit_vocabulary
 from opinara.operators.heavy_hitters import most_frequent, reduced, summary
+from opinara.operators.profiling import class_term_freq, describe
+from opinara.operators.ranking import top_per_group
 from opinara.operators.recurrence import recurring, without_single_terms
 
 
@@ -91,3 +93,42 @@ def test_vocabulary_is_the_same_without_single_terms(spark):
     for config in (FeatureConfig(), FeatureConfig(min_df=3, max_features=40), FeatureConfig(min_df=1)):
         want, got = (sorted(map(tuple, fit_vocabulary(df, config, spare_singles=s).collect())) for s in (False, True))
         assert got == want and len(got) > 10
+
+
+@pytest.mark.parametrize("k", [1, 7, 5000])
+def test_top_rows_of_a_hot_group(spark, k):
+    draw = random.Random(k)
+    rows = [("hot" if i % 3 else f"g{i % 9}", draw.randrange(50), f"t{i}") for i in range(20_000)] + [(None, 1, "x")]
+    df = spark.createDataFrame(rows, "label string, n int, term string").repartition(8)
+    got = top_per_group(df, ["label"], [F.desc("n"), F.col("term")], "term", k, buckets=4)
+    assert got.columns == df.columns
+    want = []
+    for label in {r[0] for r in rows}:
+        want += sorted((r for r in rows if r[0] == label), key=lambda r: (-r[1], r[2].encode()))[:k]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    # The first ranking's key has the bucket, so no task sorts a whole label.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and "[label#" in plan and ", __bucket#" in plan
+
+
+def test_class_terms_beyond_the_group_limit(spark):
+    draw = random.Random(1)
+    texts = [(" ".join(f"w{draw.randrange(4000)}x" for _ in range(30)), draw.choice(["a", "b", None])) for _ in range(300)]
+    df = spark.createDataFrame(texts, "clean_review string, sentiment string")
+    out = class_term_freq(df, k=1500).collect()
+    for label in "ab":
+        counts = Counter(w for t, s in texts if s == label for w in t.split())
+        want = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:1500]
+        assert sorted((r.term, r.n) for r in out if r.sentiment == label) == sorted(want)
+
+
+@pytest.mark.parametrize("base", [0, 10**9, 10**12])
+def test_deviation_of_values_far_from_zero(spark, base):
+    draw = np.random.default_rng(2)
+    values = (base + draw.integers(0, 40, 300)).tolist()
+    counts = spark.createDataFrame(sorted(Counter(values).items()), "value long, n long")
+    got = describe(counts.repartition(3)).first()
+    assert got.std == pytest.approx(np.std([v - base for v in values], ddof=1), abs=0.006)
+    assert got["mean"] == pytest.approx(np.mean(values), abs=0.006) and got["count"] == 300
+    alone = describe(counts.limit(1).withColumn("n", F.lit(1))).first()
+    assert alone.std is None
