@@ -74,6 +74,8 @@ def surely(a: bytes, b: bytes, sizes: int, percent: int) -> int:
     """1 if two set sketches are surely of similar sets, -1 if surely not, else 0.
 
     ``sizes`` is the sum of the sizes of the sets. The wider sketch is folded onto the narrower.
+    Every bit in which the sketches differ needs a shingle that one set lacks, so more such bits
+    than a similar pair has shingles apart rule it out for certain; only a yes is an estimate.
     """
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     while len(x) > len(y):
@@ -81,10 +83,12 @@ def surely(a: bytes, b: bytes, sizes: int, percent: int) -> int:
     while len(y) > len(x):
         y = y[: len(y) // 2] ^ y[len(y) // 2 :]
     bits, odd = 64 * len(x), int(np.bitwise_count(x ^ y).sum())
+    if odd * (100 + percent) > sizes * (100 - percent):
+        return -1
     most = sizes * (100 - percent) / (100 + percent)
     slack = 2 + (SIGMAS + 1) * math.sqrt(1 + 2 * most * most / bits)
     if 2 * odd >= bits:
-        return -1 if most + slack < bits / 2 else 0
+        return 0
     differ = math.log(1 - 2 * odd / bits) / math.log(1 - 2 / bits)
     return 1 if differ < most - slack else -1 if differ > most + slack else 0
 

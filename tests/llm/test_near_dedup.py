@@ -107,6 +107,22 @@ def test_set_sketches_tell_similar_sets():
             assert size < 500 or 0.75 < alike < 0.85 or verdict
 
 
+def test_set_sketches_never_refuse_similar_sets():
+    draw = np.random.default_rng(4)
+    refused = 0
+    for _ in range(4000):
+        size, apart = int(draw.integers(5, 120)), float(draw.uniform(0, 0.5))
+        pool = draw.integers(0, 2**63, 2 * size, dtype=np.uint64)
+        a = pool[:size]
+        b = np.concatenate([a[: size - int(apart * size)], pool[size : size + int(draw.integers(0, int(apart * size) + 1))]])
+        both = len(np.intersect1d(a, b))
+        similar = 100 * both >= 80 * (len(a) + len(b) - both)
+        verdict = surely(set_sketch(a), set_sketch(b), len(a) + len(b), 80)
+        assert not (similar and verdict < 0) and not (verdict > 0 and not similar)
+        refused += verdict < 0
+    assert refused > 1000
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     t = "a b c d e f g h"
     rows = [(1, t), (1, t), (None, t), (2, "q r s t u"), (None, None)]
