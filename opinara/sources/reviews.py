@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from opinara.sources.quoted_csv import CSV_OPTIONS, largest_file, read_quoted_csv
+
 REQUIRED_COLUMNS = ("review", "sentiment")
 
 # Cell texts a CSV reader takes for a missing value.
@@ -17,30 +19,44 @@ POSITION = "__position"
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = True, na_to_null: bool = True
-) -> DataFrame:
+    spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = True, na_to_null: bool = True,
+    split: bool | None = None, position: str | None = None,
+) -> DataFrame:
     """Read a CSV (quotes doubled, newlines allowed inside quotes), Parquet, JSON or ORC table.
 
-    Every CSV column is read as text. A CSV with ``multiline`` is parsed one file per task, so
-    give large inputs as many files; without quoted newlines pass ``multiline=False`` and files
-    are split. Parquet splits anyway.
+    Every CSV column is read as text. ``split`` reads a CSV with ``multiline`` in many tasks a file,
+    which scans it twice, instead of one task a file; the rows are the same. Unless told, it is done
+    where a file is larger than a scan partition. ``position`` names a column for the reading order.
     """
-    if fmt != "csv":
-        return spark.read.format(fmt).load(path)
-    df = (
-        spark.read.option("header", True)
-        .option("multiLine", multiline)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
-    if na_to_null:
+    if fmt == "csv" and multiline and split is None:
+        split = largest_file(spark, path) > _partition_bytes(spark)
+    if fmt == "csv" and multiline and split:
+        df = read_quoted_csv(spark, path, position)
+    else:
+        options = {"header": True, **CSV_OPTIONS, "multiLine": multiline} if fmt == "csv" else {}
+        df = spark.read.format(fmt).options(**options).load(path)
+        if position:
+            df = df.withColumn(position, _reading_order())
+    if fmt == "csv" and na_to_null:
+        cells = [c for c in df.columns if c != position]
         df = df.select(
-            [F.when(~F.col(f"`{c}`").isin(list(NA_TOKENS)), F.col(f"`{c}`")).alias(c) for c in df.columns]
+            [F.when(~F.col(c).isin(list(NA_TOKENS)), F.col(c)).alias(n) for n, c in zip(cells, map(_quoted, cells))]
+            + ([position] if position else [])
         )
     return df
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _partition_bytes(spark: SparkSession) -> int:
+    """Bytes of a scan partition, as the session states them (``134217728b``, ``128MB``)."""
+    stated = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(stated[-1:], 0)
+    return int(stated.rstrip("kmgt")) << unit
+
+
 def normalize_columns(df: DataFrame, required: tuple[str, ...] = REQUIRED_COLUMNS) -> DataFrame:
     """Strip and lower-case column names, then require ``required``."""
     names = [name.strip().lower() for name in df.columns]
@@ -96,10 +112,8 @@ def load_reviews(
     and position, and ``id`` becomes a digest of the text: it does not depend on how the files
     were split, so samples drawn from it are stable.
     """
-    df = read_table(spark, path, fmt, **read_options)
-    if id_col is None:
-        df = df.withColumn(POSITION, _reading_order())
-    df = normalize_columns(df)
+    position = POSITION if id_col is None else None
+    df = normalize_columns(read_table(spark, path, fmt, position=position, **read_options))
     if id_col is not None:
         wanted = id_col.strip().lower()
         if wanted not in df.columns:
