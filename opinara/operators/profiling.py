@@ -72,6 +72,32 @@ def value_counts(df: DataFrame, value: Column, *by: str) -> DataFrame:
     return df.groupBy(*by, value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def measure_table(df: DataFrame, text: str = "review", label: str = "sentiment") -> DataFrame:
+    """``(measure, label, value, n)``: frequencies of the lengths in ``chars`` and in ``words``.
+
+    Both come from one scan of the text, as two grouping sets that are combined on the map side.
+    Every statistic of lengths is a roll-up of this table.
+    """
+    rows = df.select(F.col(f"`{label}`").alias(label), char_length(text).alias("chars"), word_count(text).alias("words"))
+    sets = [[label, "chars"], [label, "words"]]
+    counts = rows.groupingSets(sets, label, "chars", "words").agg(
+        F.grouping("words").alias("without_words"), F.count(F.lit(1)).alias("n")
+    )
+    of_chars = F.col("without_words") == 1
+    return counts.select(
+        F.when(of_chars, "chars").otherwise("words").alias("measure"), label,
+        F.when(of_chars, F.col("chars")).otherwise(F.col("words")).alias("value"), "n",
+    )
+
+
+def measured(measures: DataFrame, measure: str, *by: str) -> DataFrame:
+    """The ``value_counts`` of one measure, over rows that have every column of ``by``."""
+    rows = measures.where(F.col("measure") == measure)
+    for name in by:
+        rows = rows.where(F.col(f"`{name}`").isNotNull())
+    return rows.groupBy(*by, "value").agg(F.sum("n").alias("n"))
+
+
 def _merged_moments(entries: Column) -> Column:
     """``(n, mean, squares)`` of ``(n, value)`` entries: count, mean and squared deviations from it.
 
@@ -155,7 +181,11 @@ def word_histogram(df: DataFrame, text: str = "review", bins: int = 50) -> DataF
 
 def classwise_boxplot(df: DataFrame, text: str = "review", label: str = "sentiment") -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 interquartile ranges) and outliers per label."""
-    counts = value_counts(df.where(F.col(label).isNotNull()), word_count(text), label)
+    return boxplot(value_counts(df.where(F.col(label).isNotNull()), word_count(text), label), label)
+
+
+def boxplot(counts: DataFrame, label: str = "sentiment") -> DataFrame:
+    """``classwise_boxplot`` of a frequency table."""
     quartiles = counts.groupBy(label).agg(F.percentile("value", list(QUARTILES), F.col("n")).alias("q"))
     reach = (F.col("q")[2] - F.col("q")[0]) * 1.5
     inside = F.col("value").between(F.col("q")[0] - reach, F.col("q")[2] + reach)

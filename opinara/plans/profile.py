@@ -28,8 +28,12 @@ def profile(
     """One DataFrame per section.
 
     ``clean`` has ``clean_review``; without it words are counted in the raw text. Pass staged or
-    stored tables: every section scans its columns.
+    stored tables. The sections on lengths read one staged table of length frequencies, made in one
+    scan of the texts; of the others, repeated texts, terms and samples scan the text.
     """
+    measures = stage(p.measure_table(raw), "measures")
+    chars, lengths = p.measured(measures, "chars"), p.measured(measures, "words")
+    by_label = p.measured(measures, "words", "sentiment")
     words, text = (clean, "clean_review") if clean is not None else (raw, "review")
     low, high = config.ngram_range
     sections = {
@@ -37,12 +41,12 @@ def profile(
         "missing_values": p.missing_values(raw),
         "duplicate_stats": p.duplicate_stats(raw),
         "label_distribution": p.label_distribution(raw),
-        "char_length_stats": p.char_length_stats(raw),
-        "word_count_stats": p.word_count_stats(raw),
-        "length_histogram": p.length_histogram(raw, bins=config.histogram_bins),
-        "word_histogram": p.word_histogram(raw, bins=config.histogram_bins),
-        "classwise_word_stats": p.classwise_word_stats(raw),
-        "classwise_boxplot": p.classwise_boxplot(raw),
+        "char_length_stats": p.describe(chars),
+        "word_count_stats": p.describe(lengths),
+        "length_histogram": p.histogram(chars, config.histogram_bins),
+        "word_histogram": p.histogram(lengths, config.histogram_bins),
+        "classwise_word_stats": p.describe(by_label, "sentiment"),
+        "classwise_boxplot": p.boxplot(by_label),
         "top_words": p.top_words(words, text, config.top_n_words),
         "top_ngrams": p.top_ngrams(words, text, low, high, config.top_n_ngrams),
         "class_term_freq": p.class_term_freq(words, text, k=config.class_terms),
