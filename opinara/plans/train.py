@@ -6,10 +6,12 @@
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinara.config import TrainingConfig, read_config
@@ -66,13 +68,30 @@ def feature_table(cleaned: DataFrame, config: TrainingConfig) -> tuple[TermModel
     return terms, stage(features, "features", partition_by="split")
 
 
-def train_all(features: DataFrame, terms: TermModel, config: TrainingConfig) -> dict[str, Any]:
-    """Fit every active model on the same staged training rows."""
+def train_all(
+    features: DataFrame, terms: TermModel, config: TrainingConfig, at_once: int | None = None
+) -> dict[str, Any]:
+    """Fit every active model on the same staged training rows, ``at_once`` of them at a time (all,
+    unless told).
+
+    A fit is a chain of short jobs that leaves cores idle, so fits run side by side, each in a
+    scheduler pool of its name; with the fair scheduler (``build_session``) a long one does not
+    hold up the rest. Every thread starts with the caller's job properties. The models are those
+    of fits one after another.
+    """
+    if not config.active_models:
+        return {}
     rows = features.where("split = 'train'").select("id", "label", "features")
-    return {
-        name: model_fitter(name)(rows, config.params_for(name), config.seed, len(terms.vocabulary))
-        for name in config.active_models
-    }
+    spark = features.sparkSession
+    context = spark.sparkContext
+
+    def fit(name: str) -> Any:
+        context.setLocalProperty("spark.scheduler.pool", name)
+        return model_fitter(name)(rows, config.params_for(name), config.seed, len(terms.vocabulary))
+
+    with ThreadPoolExecutor(at_once or len(config.active_models)) as threads:
+        fits = {name: threads.submit(inheritable_thread_target(spark)(fit), name) for name in config.active_models}
+    return {name: running.result() for name, running in fits.items()}
 
 
 def predictions(features: DataFrame, models: dict[str, Any]) -> DataFrame:

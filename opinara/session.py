@@ -11,7 +11,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session with adaptive execution on and timestamps in UTC.
+    """A session with adaptive execution on, timestamps in UTC and fair scheduling between threads.
 
     ``master`` and memory are left to spark-submit unless given. On a cluster leave
     ``shuffle_partitions`` unset and give a generous
@@ -24,6 +24,7 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.scheduler.mode", "FAIR")
     )
     if master:
         builder = builder.master(master)

@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 
 from opinara.config import CleaningConfig, FeatureConfig, SplitConfig, TrainingConfig
 from opinara.operators.classifiers import MODELS, MarginClassifier, fit_linear_svm, load_model, model_fitter, save_model
+from opinara.operators import profiling
 from opinara.plans.evaluate import evaluate
 from opinara.plans.prepare import prepare
 from opinara.plans.profile import profile, profile_report
 from opinara.plans.score import load_scorer, predict_batch, score, score_table
-from opinara.plans.train import clean_splits, feature_table, save, train
-from opinara.staging import staging_path
+from opinara.plans.train import clean_splits, feature_table, save, train, train_all
+from opinara.staging import stage, staging_path
 from opinara.streaming.scoring import score_stream, start_scoring
 
 FEATURES = FeatureConfig(max_features=500, ngram_range=(1, 1), min_df=1, max_df=1.0)
@@ -118,6 +119,30 @@ def test_models_fit_save_and_repeat(spark, features, tmp_path, name):
     assert [tuple(r) for r in again.collect()] == scored
 
 
+def test_fits_side_by_side_give_the_models_of_single_fits(spark, features, monkeypatch):
+    terms, rows = features
+    names = ("logistic_regression", "linear_svm", "multinomial_nb", "random_forest", "sgd_linear")
+    config = replace(PLAIN, active_models=names, model_params={n: {"max_iter": 10, "n_estimators": 4} for n in names})
+    pools = {}
+
+    def noting(name):
+        def fit(*given):
+            pools[name] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+            return model_fitter(name)(*given)
+
+        return fit
+
+    monkeypatch.setattr("opinara.plans.train.model_fitter", noting)
+    together = train_all(rows, terms, config)
+    assert pools == {name: name for name in names} and list(together) == list(names)
+    single = train_all(rows, terms, config, at_once=1)
+    for name in names:
+        scores = [[r.score for r in m[name].score(rows.select("id", "features")).orderBy("id").collect()] for m in (together, single)]
+        assert scores[0] == pytest.approx(scores[1], abs=1e-9)
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    assert train_all(rows, terms, replace(config, active_models=())) == {}
+
+
 def test_bare_svm_scores_margins(features):
     terms, rows = features
     model = fit_linear_svm(rows.where("split = 'train'").select("id", "label", "features"), {"max_iter": 10}, 42, 0)
@@ -179,6 +204,25 @@ def test_stream_with_lemmas_equals_batch_through_restarts(spark, split_rows, tmp
             score_stream(spark.readStream.schema(texts.schema).parquet(source), replace(scorer, lexicon=None))
 
 
+def test_length_sections_come_from_one_table_and_equal_the_operators(spark):
+    rows = spark.range(90).selectExpr(
+        "id", "if(id % 10 = 0, null, repeat(concat('w', id, ' '), int(id % 13))) review",
+        "case id % 3 when 0 then 'positive' when 1 then 'negative' end sentiment",
+    )
+    sections = profile(stage(rows, "rows"))
+    operators = (
+        profiling.char_length_stats, profiling.word_count_stats, profiling.length_histogram, profiling.word_histogram,
+        profiling.classwise_word_stats, profiling.classwise_boxplot,
+    )
+    for operator in operators:
+        section, alone = sections[operator.__name__], operator(rows)
+        assert section.columns == alone.columns
+        assert sorted(map(str, section.collect())) == sorted(map(str, alone.collect())), operator.__name__
+        assert "review" not in section._jdf.queryExecution().optimizedPlan().toString()
+    nothing = profile(stage(rows.limit(0), "rows"))
+    assert nothing["word_count_stats"].first()["count"] == profiling.word_count_stats(rows.limit(0)).first()["count"]
+
+
 def test_profile_report(split_rows):
     train_rows = split_rows.where("split = 'train'").select("id", "review", "sentiment")
     sections = profile(train_rows, None, split_rows)
