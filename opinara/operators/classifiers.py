@@ -15,7 +15,6 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -109,33 +108,25 @@ class CalibratedClassifier:
 
 
 class ForestClassifier:
-    """A forest over some of the features."""
+    """A forest over all features."""
 
     kind = "forest"
 
-    def __init__(self, model: RandomForestClassificationModel, indices: list[int]):
-        self.model, self.indices = model, indices
+    def __init__(self, model: RandomForestClassificationModel):
+        self.model = model
 
     def score(self, df: DataFrame) -> DataFrame:
         names = df.columns
-        return self.model.transform(_sliced(df, self.indices)).select(
+        return self.model.transform(df).select(
             *names, F.col("prediction"), vector_to_array("probability")[1].alias("score")
         )
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        write_settings(spark, {"indices": self.indices}, f"{path}/settings")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ForestClassifier:
-        return cls(
-            RandomForestClassificationModel.load(f"{path}/model"),
-            read_settings(spark, f"{path}/settings")["indices"],
-        )
-
-
-def _sliced(df: DataFrame, indices: list[int]) -> DataFrame:
-    return VectorSlicer(inputCol="features", outputCol="__sliced", indices=indices).transform(df)
+        return cls(RandomForestClassificationModel.load(f"{path}/model"))
 
 
 def _weighted(df: DataFrame, params: dict[str, Any]) -> tuple[DataFrame, dict[str, str], float]:
@@ -237,9 +228,7 @@ def fit_random_forest(df: DataFrame, params: dict[str, Any], seed: int, n_featur
     depth = params.get("max_depth", MAX_TREE_DEPTH)
     if depth > MAX_TREE_DEPTH:
         raise ValueError(f"max_depth is {depth}; MLlib grows trees of {MAX_TREE_DEPTH} levels at most")
-    indices = list(range(n_features))
     estimator = RandomForestClassifier(
-        featuresCol="__sliced",
         numTrees=params.get("n_estimators", 100),
         maxDepth=depth,
         featureSubsetStrategy="sqrt",
@@ -247,8 +236,7 @@ def fit_random_forest(df: DataFrame, params: dict[str, Any], seed: int, n_featur
         maxMemoryInMB=params.get("max_memory_mb", 1024),
         **extra,
     )
-    columns = ["label", "__sliced", *extra.values()]
-    return ForestClassifier(estimator.fit(_sliced(df, indices).select(columns)), indices)
+    return ForestClassifier(estimator.fit(df.select("label", "features", *extra.values())))
 
 
 Fit = Callable[[DataFrame, dict[str, Any], int, int], Any]

@@ -1,6 +1,7 @@
 """Scoring new text with a saved model.
 
-    python -m opinara.plans.score --model DIR --input PATH --output PATH [--model-name NAME]
+    python -m opinara.plans.score --model DIR --input PATH --output PATH [--model-name NAME] [--preview ROWS]
+    python -m opinara.plans.score --model DIR --text "a text" [--model-name NAME]
 """
 
 from __future__ import annotations
@@ -106,18 +107,30 @@ def preview(df: DataFrame, id_col: str = "id", k: int = 10) -> DataFrame:
     return df.orderBy(id_col).limit(k)
 
 
-def main() -> None:
-    parser = argparse.ArgumentParser(description="Score a table of texts.")
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Score a table of texts, or one text.")
     parser.add_argument("--model", required=True)
     parser.add_argument("--model-name")
-    parser.add_argument("--input", required=True)
-    parser.add_argument("--output", required=True)
-    parser.add_argument("--format", default="csv")
+    parser.add_argument("--text", help="one text, whose label is printed")
+    parser.add_argument("--input", help="a table")
+    parser.add_argument("--output", help="where the scored table is written; without it, it is only previewed")
+    parser.add_argument("--format", default="csv", help="of the input")
+    parser.add_argument("--output-format", help="that of the input unless told")
     parser.add_argument("--text-column", default="review")
-    args = parser.parse_args()
+    parser.add_argument("--preview", type=int, metavar="ROWS", help="scored rows to print; 10 without an output, else 0")
+    args = parser.parse_args(argv)
+    if args.text is None and args.input is None:
+        parser.error("give a --text, an --input or both")
     spark = build_session("opinara-score")
     scorer = load_scorer(spark, args.model, args.model_name)
-    score_table(spark, args.input, scorer, args.text_column, args.format, args.output, args.format)
+    if args.text is not None:
+        predict_batch(spark.createDataFrame([(args.text,)], "review string"), scorer).show(truncate=False)
+    if args.input is not None:
+        out_format = args.output_format or args.format
+        scored = score_table(spark, args.input, scorer, args.text_column, args.format, args.output, out_format)
+        rows = args.preview if args.preview is not None else 0 if args.output else 10
+        if rows > 0:
+            scored.show(rows, truncate=False)
 
 
 if __name__ == "__main__":

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
@@ -104,15 +105,27 @@ def predictions(features: DataFrame, models: dict[str, Any]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def train(splits: DataFrame, config: TrainingConfig = TrainingConfig(), lexicon: DataFrame | None = None) -> Trained:
-    """Clean, build features, fit, evaluate on validation rows, choose a champion."""
-    cleaned, lexicon = clean_splits(splits, config, lexicon)
-    terms, features = feature_table(cleaned, config)
-    models = train_all(features, terms, config)
+def validate(features: DataFrame, models: dict[str, Any], config: TrainingConfig) -> DataFrame:
+    """Metrics of every model on the validation rows."""
     held_out = features.where("split = 'val'")
-    validation = stage(metrics(stage(predictions(held_out, models), "predictions")), "validation")
-    best = select_best(validation, config.primary_metric, config.active_models).first()
-    return Trained(config, terms, models, validation, best.model, lexicon)
+    return stage(metrics(stage(predictions(held_out, models), "predictions")), "validation")
+
+
+def choose_champion(validation: DataFrame, config: TrainingConfig) -> str:
+    """The model that is best by the primary metric; the first of the active ones among equals."""
+    return select_best(validation, config.primary_metric, config.active_models).first().model
+
+
+def train(
+    splits: DataFrame, config: TrainingConfig = TrainingConfig(), lexicon: DataFrame | None = None, steps: Steps | None = None
+) -> Trained:
+    """Clean, build features, fit, evaluate on validation rows, choose a champion, by ``steps``."""
+    steps = steps or Steps()
+    cleaned, lexicon = steps.clean(splits, config, lexicon)
+    terms, features = steps.build_features(cleaned, config)
+    models = steps.fit(features, terms, config)
+    validation = steps.evaluate(features, models, config)
+    return Trained(config, terms, models, validation, steps.choose(validation, config), lexicon)
 
 
 def save(spark: SparkSession, trained: Trained, path: str) -> None:
@@ -131,6 +144,33 @@ def save(spark: SparkSession, trained: Trained, path: str) -> None:
     write_result(comparison(trained.validation), f"{path}/metrics/validation_comparison", "csv")
 
 
+@dataclass(frozen=True)
+class Steps:
+    """What a training job does, in order; ``replace(Steps(), choose=...)`` puts in another step.
+
+    A step gets what the ones before it returned, as the default of that step does, so tables stay
+    DataFrames from the first step to the last.
+    """
+
+    clean: Callable[[DataFrame, TrainingConfig, DataFrame | None], tuple[DataFrame, DataFrame | None]] = clean_splits
+    build_features: Callable[[DataFrame, TrainingConfig], tuple[TermModel, DataFrame]] = feature_table
+    fit: Callable[[DataFrame, TermModel, TrainingConfig], dict[str, Any]] = train_all
+    evaluate: Callable[[DataFrame, dict[str, Any], TrainingConfig], DataFrame] = validate
+    choose: Callable[[DataFrame, TrainingConfig], str] = choose_champion
+    persist: Callable[[SparkSession, Trained, str], None] = save
+
+
+def run_job(
+    splits: DataFrame, path: str, config: TrainingConfig = TrainingConfig(), lexicon: DataFrame | None = None,
+    steps: Steps | None = None,
+) -> Trained:
+    """``train``, and its result written to ``path``."""
+    steps = steps or Steps()
+    trained = train(splits, config, lexicon, steps)
+    steps.persist(splits.sparkSession, trained, path)
+    return trained
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description="Train and compare models.")
     parser.add_argument("--splits", required=True)
@@ -142,8 +182,7 @@ def main() -> None:
     if args.models:
         config = replace(config, active_models=tuple(args.models))
     spark = build_session("opinara-train")
-    trained = train(load_splits(spark, args.splits), config)
-    save(spark, trained, args.output)
+    trained = run_job(load_splits(spark, args.splits), args.output, config)
     comparison(trained.validation).orderBy("rank").show(truncate=False)
 
 

@@ -1,5 +1,6 @@
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,8 +10,8 @@ from opinara.operators import profiling
 from opinara.plans.evaluate import evaluate
 from opinara.plans.prepare import prepare
 from opinara.plans.profile import profile, profile_report
-from opinara.plans.score import load_scorer, predict_batch, score, score_table
-from opinara.plans.train import clean_splits, feature_table, save, train, train_all
+from opinara.plans.score import load_scorer, main as score_main, predict_batch, score, score_table
+from opinara.plans.train import Steps, clean_splits, feature_table, run_job, save, train, train_all
 from opinara.staging import stage, staging_path
 from opinara.streaming.scoring import score_stream, start_scoring
 
@@ -161,7 +162,95 @@ def test_forest_uses_every_feature(features):
     terms, rows = features
     fitted = rows.where("split = 'train'").select("id", "label", "features")
     model = model_fitter("random_forest")(fitted, {"n_estimators": 2}, 42, len(terms.vocabulary))
-    assert model.indices == list(range(len(terms.vocabulary)))
+    assert model.model.numFeatures == len(terms.vocabulary)
+    assert model.score(fitted).columns[:3] == ["id", "label", "features"]
+
+
+def matrix(rows):
+    rows = rows.where("split = 'train'").orderBy("id").collect()
+    return np.array([r.features.toArray() for r in rows]), np.array([r.label for r in rows])
+
+
+@pytest.mark.parametrize("name, params", [
+    ("logistic_regression", {"C": 1.0, "max_iter": 2000, "tol": 1e-10, "class_weight": "balanced"}),
+    ("logistic_regression", {"C": 4.0, "max_iter": 2000, "tol": 1e-10}),
+    ("sgd_linear", {"alpha": 0.01, "max_iter": 2000, "tol": 1e-10}),
+])
+def test_logistic_fits_end_where_the_gradient_vanishes(features, name, params):
+    """Summed weighted log loss and half the squared norm over C; the mean loss and alpha for the other."""
+    terms, rows = features
+    x, y = matrix(rows)
+    fitted = rows.where("split = 'train'").select("id", "label", "features")
+    model = model_fitter(name)(fitted, params, 42, len(terms.vocabulary)).model
+    w, b = model.coefficients.toArray(), model.intercept
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum()))) if "class_weight" in params else np.ones(len(y))
+    error = weight * (1 / (1 + np.exp(-(x @ w + b))) - y)
+    penalty = params.get("alpha", 1 / (params.get("C", 1.0) * weight.sum()))
+    gradient = np.append(x.T @ error / weight.sum() + penalty * w, error.sum() / weight.sum())
+    start = np.append(x.T @ (weight * (0.5 - y)), (weight * (0.5 - y)).sum()) / weight.sum()
+    assert np.linalg.norm(gradient) < 1e-4 * max(1.0, np.linalg.norm(start))
+
+
+def test_no_step_lowers_the_hinge_loss_of_a_fitted_svm(features):
+    terms, rows = features
+    x, y = matrix(rows)
+    fitted = rows.where("split = 'train'").select("id", "label", "features")
+    model = fit_linear_svm(fitted, {"C": 1.0, "max_iter": 2000, "tol": 1e-9}, 42, 0).model
+
+    def loss(w, b):
+        return np.maximum(0, 1 - (2 * y - 1) * (x @ w + b)).mean() + (w @ w) / (2 * len(y))
+
+    w, b = model.coefficients.toArray(), model.intercept
+    best, draw = loss(w, b), np.random.default_rng(1)
+    for size in (1e-3, 1e-2, 1e-1, 1.0):
+        for _ in range(100):
+            step = draw.normal(size=len(w) + 1)
+            step *= size / np.linalg.norm(step)
+            assert loss(w + step[:-1], b + step[-1]) > best - 1e-4
+        assert loss(w * (1 - size / 10), b) > best - 1e-4 and loss(w * (1 + size / 10), b) > best - 1e-4
+
+
+def test_every_step_of_a_job_can_be_replaced(spark, split_rows, tmp_path):
+    ran = []
+
+    def noting(name, step):
+        def run(*given):
+            ran.append(name)
+            return step(*given)
+
+        return run
+
+    plain = Steps()
+    names = ("clean", "build_features", "fit", "evaluate", "choose", "persist")
+    steps = replace(plain, **{name: noting(name, getattr(plain, name)) for name in names})
+    config = replace(PLAIN, active_models=("multinomial_nb",))
+    trained = run_job(split_rows, str(tmp_path / "model"), config, steps=steps)
+    assert ran == list(names) and trained.champion == "multinomial_nb"
+    assert load_scorer(spark, str(tmp_path / "model")).model_name == "multinomial_nb"
+
+    def last_named(validation, config):
+        return config.active_models[-1]
+
+    for order in (PLAIN.active_models, PLAIN.active_models[::-1]):
+        chosen = train(split_rows, replace(PLAIN, active_models=order), steps=replace(plain, choose=last_named))
+        assert chosen.champion == order[-1] and chosen.scorer().model_name == order[-1]
+
+
+def test_scoring_job_reads_one_format_and_writes_another(spark, saved, tmp_path, capsys):
+    _, path = saved
+    rows = spark.createDataFrame([(1, "superb and charming"), (2, "dull, dreadful"), (3, None)], "key int, review string")
+    rows.write.parquet(str(tmp_path / "in"))
+    given = ["--model", path, "--input", str(tmp_path / "in"), "--format", "parquet"]
+    score_main([*given, "--output", str(tmp_path / "out"), "--output-format", "json", "--preview", "2"])
+    assert "only showing top 2 rows" in capsys.readouterr().out
+    written = spark.read.json(str(tmp_path / "out"))
+    assert set(written.columns) == {"key", "review", "predicted_label", "confidence"} and written.count() == 3
+    score_main([*given, "--output", str(tmp_path / "same")])
+    assert capsys.readouterr().out == "" and spark.read.parquet(str(tmp_path / "same")).count() == 3
+    score_main(["--model", path, "--model-name", "multinomial_nb", "--text", "superb"])
+    assert "positive" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        score_main(["--model", path])
 
 
 def test_registry():
