@@ -10,15 +10,27 @@ import re
 
 from opinara.config import FeatureConfig, ProfileConfig, SplitConfig
 from opinara.contract.queries import SUBSET_ROWS
-from opinara.functions import text as x
-from opinara.functions.tokens import CHAR_NGRAM_RANGE, TOKEN_PATTERN
 from opinara.functions.wordlists import CLEANER_STOPWORDS, COUNTER_STOPWORDS
-from opinara.operators.lemmas import SUFFIX_RULES
 
 SPLIT = SplitConfig()
 PROFILE = ProfileConfig()
 WORDS = FeatureConfig()
 
+# Fixed values, stated here for themselves: a change in the library has to show as a difference.
+TAGS = r"<[^>\n]*>"
+URLS = r"https?://[^\t\n\x0B\f\r \x1C-\x1F\x{85}\p{Z}]+|www\.[^\t\n\x0B\f\r \x1C-\x1F\x{85}\p{Z}]+"
+NUMBERS = r"\p{Nd}+"
+PUNCTUATION = r"[^\p{L}\p{N}_\t\n\x0B\f\r \x1C-\x1F\x{85}\p{Z}]"
+SPACES = r"[\t\n\x0B\f\r \x1C-\x1F\x{85}\p{Z}]+"
+NO_SPACES = r"[^\t\n\x0B\f\r \x1C-\x1F\x{85}\p{Z}]+"
+TOKEN = r"[\p{L}\p{N}_]{2,}"
+SHORTEST_AGGRESSIVE = 3
+CHAR_NGRAMS = (3, 5)
+LEMMA_SUFFIXES = (
+    ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
+    ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
+)
+
 
 def quoted(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
@@ -38,11 +50,11 @@ def replaced(text: str, pattern: str) -> str:
 
 
 def words_of(text: str) -> str:
-    return f"regexp_extract_all({text}, {quoted(x.NONSPACE_PATTERN)})"
+    return f"regexp_extract_all({text}, {quoted(NO_SPACES)})"
 
 
 def tokens_of(text: str) -> str:
-    return f"regexp_extract_all(lower({text}), {quoted(TOKEN_PATTERN)})"
+    return f"regexp_extract_all(lower({text}), {quoted(TOKEN)})"
 
 
 def without(tokens: str, words) -> str:
@@ -58,11 +70,11 @@ def order_key(id_: str = "id", seed: int = SPLIT.seed) -> str:
 
 
 def stripped(text: str) -> str:
-    return replaced(replaced(text, x.TAG_PATTERN), x.URL_PATTERN)
+    return replaced(replaced(text, TAGS), URLS)
 
 
 def spaced(text: str) -> str:
-    return f"trim({replaced(text, x.SPACE_PATTERN)}, ' ')"
+    return f"trim({replaced(text, SPACES)}, ' ')"
 
 
 def minimal(text: str) -> str:
@@ -71,12 +83,12 @@ def minimal(text: str) -> str:
 
 def standard(text: str) -> str:
     """The standard strategy without lemmas."""
-    return joined(without(words_of(spaced(replaced(f"lower({stripped(text)})", x.PUNCT_PATTERN))), CLEANER_STOPWORDS))
+    return joined(without(words_of(spaced(replaced(f"lower({stripped(text)})", PUNCTUATION))), CLEANER_STOPWORDS))
 
 
 def aggressive(text: str) -> str:
-    plain = spaced(replaced(replaced(f"lower({stripped(text)})", x.NUMBER_PATTERN), x.PUNCT_PATTERN))
-    long = f"list_filter({words_of(plain)}, lambda w: length(w) >= {x.AGGRESSIVE_MIN_CHARS})"
+    plain = spaced(replaced(replaced(f"lower({stripped(text)})", NUMBERS), PUNCTUATION))
+    long = f"list_filter({words_of(plain)}, lambda w: length(w) >= {SHORTEST_AGGRESSIVE})"
     return joined(without(long, CLEANER_STOPWORDS))
 
 
@@ -94,7 +106,7 @@ def ngrams_of(tokens: str, low: int, high: int) -> str:
 
 
 def char_ngrams_of(text: str) -> str:
-    low, high = CHAR_NGRAM_RANGE
+    low, high = CHAR_NGRAMS
     per_word = (
         f"flatten(list_transform(range({low}, least({high}, length(w) + 2) + 1), "
         "lambda n: list_transform(range(1, length(w) + 4 - n), lambda i: substring(' ' || w || ' ', i, n))))"
@@ -148,7 +160,7 @@ def add_lemmas(prefix: str, source: str, known: str = "true", lexicon: str | Non
     rewritten = ", ".join(
         f"CASE WHEN ends_with(form, {quoted(old)}) THEN {{'place': {i}, "
         f"'form': left(form, length(form) - {len(old)}) || {quoted(new)}}} END"
-        for i, (old, new) in enumerate(SUFFIX_RULES, 1)
+        for i, (old, new) in enumerate(LEMMA_SUFFIXES, 1)
     )
     grown = f"unnest(list_filter([{rewritten}], lambda r: r IS NOT NULL))"
     CTES[f"{prefix}_words"] = f"""
@@ -500,7 +512,8 @@ FROM (SELECT id, {grams} AS terms FROM (SELECT doc_id AS id, {tokens} AS t FROM
 _IDF = rounded("idf", 6)
 _WEIGHT = rounded("weight", 6)
 _RANK = "CAST(row_number() OVER (ORDER BY f1 DESC, model) AS BIGINT) AS rank"
-_METRIC_COLUMNS = "model, accuracy, precision, recall, f1, roc_auc"
+_MEASURES = "accuracy, precision, recall, f1, roc_auc"
+_METRIC_COLUMNS = f"model, {_MEASURES}"
 _CONFIDENCE = probability()
 
 _SUBSET = f"""SELECT r.id, r.sentiment
@@ -518,11 +531,11 @@ _SELECTS: dict[str, str] = {
 FROM (SELECT count(*) AS n FROM raw_reviews) b, (SELECT count(*) AS n FROM reviews) a""",
     "write_splits": "SELECT id, review, sentiment, split FROM splits",
     "load_splits": "SELECT id, review, sentiment, split FROM splits WHERE split = 'test'",
-    "strip_html": f"SELECT page_id, {replaced('html', x.TAG_PATTERN)} AS text FROM pages",
-    "strip_urls": f"SELECT page_id, {replaced('html', x.URL_PATTERN)} AS text FROM pages",
+    "strip_html": f"SELECT page_id, {replaced('html', TAGS)} AS text FROM pages",
+    "strip_urls": f"SELECT page_id, {replaced('html', URLS)} AS text FROM pages",
     "lowercase_text": "SELECT doc_id AS id, lower(text) AS text FROM documents",
-    "strip_numbers": f"SELECT doc_id AS id, {replaced('text', x.NUMBER_PATTERN)} AS text FROM documents",
-    "strip_punct": f"SELECT doc_id AS id, {replaced('text', x.PUNCT_PATTERN)} AS text FROM documents",
+    "strip_numbers": f"SELECT doc_id AS id, {replaced('text', NUMBERS)} AS text FROM documents",
+    "strip_punct": f"SELECT doc_id AS id, {replaced('text', PUNCTUATION)} AS text FROM documents",
     "normalize_ws": f"SELECT doc_id AS id, {spaced('text')} AS text FROM documents",
     "remove_stopwords": "SELECT doc_id AS id, "
     + joined(without(words_of("lower(text)"), CLEANER_STOPWORDS))
@@ -584,6 +597,12 @@ FROM (SELECT CASE sentiment WHEN 'positive' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE EN
              sum(n) OVER () AS total, count(*) OVER () AS classes FROM class_sizes)""",
     "multinomial_nb": f"""SELECT id, label, CAST({rounded('margin', 9)} > 0 AS DOUBLE) AS prediction,
        {probability(digits=6)} AS score FROM held_out""",
+    "train_all_bayes": f"""SELECT 'multinomial_nb' AS model, id, label, CAST({rounded('margin', 9)} > 0 AS DOUBLE) AS prediction,
+       {probability(digits=6)} AS score FROM variants WHERE variant = 'tfidf' AND split = 'val'""",
+    "train_job_bayes": f"""SELECT 'multinomial_nb' AS model, {_MEASURES}, CAST(1 AS BIGINT) AS rank, true AS champion
+FROM metrics WHERE model = 'tfidf' AND split = 'val' AND cut = 'zero'""",
+    "evaluate_test_bayes": f"""SELECT 'multinomial_nb' AS model, {_MEASURES}, CAST(1 AS BIGINT) AS rank
+FROM metrics WHERE model = 'tfidf' AND split = 'test' AND cut = 'zero'""",
     "confusion_matrix": " UNION ALL ".join(
         f"SELECT variant, split, cut, CAST({a} AS INTEGER) AS actual, CAST({b} AS INTEGER) AS predicted, {c} AS n FROM cells"
         for a, b, c in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp"))

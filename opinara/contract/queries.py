@@ -29,11 +29,11 @@ from opinara.operators.labels import class_weights, decode_label, encode_label,
 from opinara.operators.lemmas import corpus_lexicon, lemma_table, term_frequencies
 from opinara.operators.naive_bayes import fit_naive_bayes
 from opinara.operators.sampling import sample_reviews, stratified_split, stratified_subset
-from opinara.plans.evaluate import held_out_predictions
+from opinara.plans.evaluate import evaluate, held_out_predictions
 from opinara.plans.prepare import prepare
 from opinara.plans.profile import profile, profile_report
-from opinara.plans.score import Scorer, load_scorer, predict_batch, preview, score, score_table
-from opinara.plans.train import clean_splits, feature_table, predictions, save, train, train_all
+from opinara.plans.score import Scorer, champion, load_scorer, predict_batch, preview, score, score_table
+from opinara.plans.train import clean_splits, feature_table, predictions, run_job, save, train, train_all
 from opinara.sources import reviews as src
 from opinara.sources.sinks import write_result
 from opinara.sources.splits import load_splits, write_splits
@@ -535,6 +535,23 @@ def train_models(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("score", round_half_up(F.col("score"), 6))
 
 
+@query("train_all_bayes")
+def train_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    """``train_all`` for the model whose fit is exact."""
+    terms, features = feature_table(cleaned(spark, folder), BAYES)
+    scored = predictions(features.where("split = 'val'"), train_all(features, terms, BAYES))
+    return scored.withColumn("score", round_half_up(F.col("score"), 6))
+
+
+@query("train_job_bayes")
+def train_job_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    """The job for the exact model, written and read back."""
+    path = staging_path(spark, "job")
+    trained = run_job(splits(spark, folder), path, BAYES)
+    rows = ev.comparison(spark.read.schema(trained.validation.schema).json(f"{path}/metrics/validation"))
+    return rows.withColumn("champion", F.col("model") == champion(spark, path))
+
+
 @query("train_job")
 def train_job(spark: SparkSession, folder: str) -> DataFrame:
     """The default job, lemmas included, with its champion marked."""
@@ -663,6 +680,13 @@ def evaluate_test(spark: SparkSession, folder: str) -> DataFrame:
     return ev.comparison(ev.metrics(held_out_predictions(spark, path, rows.where("split = 'test'"), names)))
 
 
+@query("evaluate_test_bayes")
+def evaluate_test_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    """The saved exact model on the test rows."""
+    path, rows = _saved(spark, folder, ("multinomial_nb",))
+    return evaluate(spark, path, rows.where("split = 'test'"), write=False)
+
+
 # ------------------------------------------------------------------ scoring
 
 
