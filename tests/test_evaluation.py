@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from opinara.contract import queries
 from opinara.operators import evaluation as ev
 
 
@@ -107,3 +108,14 @@ def test_rows_without_a_score_take_no_part(spark, per_range):
     plain = ev.roc_auc(spark.createDataFrame(rows, schema), per_range=per_range).collect()
     assert ev.roc_auc(spark.createDataFrame(rows + odd, schema), per_range=per_range).collect() == plain
     assert plain[0].roc_auc == round(5 / 6, 4)
+
+
+def test_curve_query_has_a_point_per_score(spark, monkeypatch):
+    """Three positives, then two negatives: corners alone would be three points."""
+    scored = [("tfidf", "val", label, score) for label, score in [(1, 5.0), (1, 4.0), (1, 3.0), (0, 2.0), (0, 1.0)]]
+    rows = spark.createDataFrame(scored, "variant string, split string, label int, score double")
+    monkeypatch.setattr(queries, "_variants", lambda spark, folder: rows)
+    points = {(r.threshold, r.fpr, round(r.tpr, 3)) for r in queries.roc_curve(spark, "").collect()}
+    assert points == {
+        (None, 0.0, 0.0), (5.0, 0.0, 0.333), (4.0, 0.0, 0.667), (3.0, 0.0, 1.0), (2.0, 0.5, 1.0), (1.0, 1.0, 1.0)
+    }
