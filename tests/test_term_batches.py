@@ -64,3 +64,16 @@ def test_vectors_are_built_without_a_detour(docs):
     plan = model.transform(docs, "text")._jdf.queryExecution().executedPlan().toString()
     assert "from_json" not in plan and "zip_with" not in plan
     assert sum(r.features.numNonzeros() == 0 for r in model.transform(docs, "text").collect()) >= 2
+
+
+def test_a_stream_gets_the_same_vectors_by_projections(spark, docs, tmp_path):
+    rows, out = docs.where("text is not null"), str(tmp_path / "out")
+    rows.write.parquet(str(tmp_path / "in"))
+    model = TermModel.fit(docs, FeatureConfig(max_df=1.0), "text")
+    stream = model.transform(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), "text")
+    sink = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "checkpoint"))
+    sink.trigger(availableNow=True).start().awaitTermination()
+    found = {r.id: r.features.toArray() for r in spark.read.parquet(out).collect()}
+    want = {r.id: r.features.toArray() for r in model.transform(rows, "text").collect()}
+    assert found.keys() == want.keys()
+    assert all(found[i] == pytest.approx(want[i]) for i in want)
