@@ -4,12 +4,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.config import CleaningConfig, FeatureConfig
+from opinara.functions import text as x
 from opinara.functions.text import clean_expr
 from opinara.functions.tokens import char_wb_ngrams, word_ngrams, word_tokens, with_terms
 from opinara.functions.wordlists import CLEANER_STOPWORDS, COUNTER_STOPWORDS
-from opinara.operators.cleaning import clean_table, empty_after_clean
+from opinara.operators.cleaning import clean_table, cleaned_words, empty_after_clean, lemmas_of_words
 from opinara.operators.dictionary import dictionary
-from opinara.operators.lemmas import lemma_table, lemmatize, lemmatize_in_place, numbered, term_frequencies
+from opinara.operators.lemmas import (
+    lemma_table,
+    lemmatize,
+    lemmatize_in_place,
+    numbered,
+    recurring_forms,
+    row_frequencies,
+    term_frequencies,
+)
 
 
 def cleaned(spark, text, **options):
@@ -181,3 +190,40 @@ def test_clean_table_with_corpus_lexicon(spark):
     out = clean_table(rows, CleaningConfig())
     assert {r.id: r.clean_review for r in out.collect()} == {1: "cat", 2: "cat", 3: "one cat two dogs", 4: ""}
     assert tuple(empty_after_clean(out).first()) == (4, 1)
+
+
+def test_words_are_cut_in_one_pass_with_the_same_result(spark):
+    texts = [
+        None, "", " ", "a<b>c http://x.y/<i>z</i> www.<b>q</b>.de", "https:/no HTTP://Yes <not\nclosed> wwW.x www",
+        "It's 2nd-hand, x\u00b2 \u0663 _a_ \u2028b\u00a0c\x85d\x1ce", "\u0130\u00c9\ufb01 \u01c5 e\u0301 \U0001d400 \u2167 12", "the  The 3 men's boxes",
+    ]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    flags = ("lowercase", "remove_html", "remove_punctuation", "remove_numbers", "normalize_whitespace", "remove_stopwords", "lemmatize")
+    for strategy in ("standard", "aggressive"):
+        for off in (None, *flags):
+            config = CleaningConfig(strategy, **{**{f: True for f in flags}, **({off: False} if off else {})})
+            plain = F.coalesce("text", F.lit(""))
+            if config.remove_html:
+                plain = x.strip_urls(x.strip_html(plain))
+            plain = F.lower(plain) if config.lowercase else plain
+            plain = x.strip_numbers(plain) if config.remove_numbers or strategy == "aggressive" else plain
+            plain = x.strip_punct(plain) if config.remove_punctuation else plain
+            words = x.split_words(x.normalize_ws(plain))
+            if strategy == "aggressive":
+                words = x.drop_short_tokens(words)
+            words = x.remove_stopwords(words) if config.remove_stopwords else words
+            want, got = F.array_join(words, " "), x.clean_expr(F.col("text"), config)
+            assert rows.select(want.alias("want"), got.alias("got")).where("not (want <=> got)").collect() == []
+    steps = str(x.clean_expr(F.col("text"), CleaningConfig()))
+    assert x.SPACE_PATTERN not in steps and x.PUNCT_PATTERN not in steps
+
+
+def test_words_are_counted_once_for_lexicon_and_terms(spark):
+    texts = ["cats cats dog", "cats boxes", "", "box dog"]
+    rows = cleaned_words(spark.createDataFrame([(t,) for t in texts], "text string"), CleaningConfig(), "text", "text")
+    terms = row_frequencies(rows, "text")
+    assert {r.term: r.n for r in terms.collect()} == {"cats": 2, "dog": 2, "boxes": 1, "box": 1}
+    assert {r.form for r in recurring_forms(terms).collect()} == {"cats", "dog"}
+    assert {r.term for r in row_frequencies(rows, "text", changeable_only=True).collect()} == {"cats", "boxes"}
+    out = lemmas_of_words(rows, "text", spark.createDataFrame([("cat",), ("box",)], "form string"))
+    assert sorted(r.text for r in out.collect()) == ["", "box dog", "cat box", "cat cat dog"]
