@@ -7,10 +7,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from opinara.functions.numeric import round_half_up
 from opinara.functions.rows import element_rows
 from opinara.functions.text import split_words
-from opinara.functions.tokens import without_stopwords, word_ngrams, word_tokens
+from opinara.functions.tokens import without_stopwords, word_tokens
 from opinara.functions.wordlists import COUNTER_STOPWORDS
 from opinara.operators.heavy_hitters import most_frequent
 from opinara.operators.ranking import top_per_group
+from opinara.staging import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 STATS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -220,9 +221,10 @@ def top_ngrams(df: DataFrame, text: str = "clean_review", low: int = 2, high: in
     """As ``top_words`` for n-grams over the words left after stop words are gone.
 
     N-grams are mostly rare, so only those that can be among the first are shuffled
-    (``heavy_hitters``).
+    (``heavy_hitters``). The words are written once, as they are read for every summary and count.
     """
-    return most_frequent(counted_tokens(df, text), word_ngrams(F.col("tokens"), low, high), k)
+    tokens = stage(counted_tokens(df, text).select("tokens"), "tokens")
+    return most_frequent(tokens, F.col("tokens"), k, low=low, high=high)
 
 
 def class_term_freq(df: DataFrame, text: str = "clean_review", label: str = "sentiment", k: int = 150) -> DataFrame:

@@ -4,12 +4,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from opinara.config import FeatureConfig
 from opinara.operators.features import fit_vocabulary
-from opinara.operators.heavy_hitters import most_frequent, reduced, summary
+from opinara.operators.heavy_hitters import most_frequent, reduced, run_hashes, summary
 from opinara.operators.profiling import class_term_freq, describe
 from opinara.operators.ranking import top_per_group
 from opinara.operators.recurrence import recurring, without_single_terms
@@ -45,6 +46,27 @@ def test_heavy_hitters_are_exact(spark, name, counters, most):
         assert got == best(rows, k)
 
 
+@pytest.mark.parametrize("name", ["zipf", "spread", "ties", "none"])
+@pytest.mark.parametrize("counters,most", [(64, 64)])
+def test_frequent_runs_are_exact(spark, name, counters, most):
+    rows = adversaries()[name]
+    for low, high in ((1, 2), (2, 3)):
+        runs = [
+            [" ".join(r[i : i + n]) for n in range(low, high + 1) for i in range(len(r) - n + 1) if None not in r[i : i + n]]
+            for r in rows if r
+        ]
+        got = most_frequent(lists(spark, rows), F.col("terms"), 5, counters, most, low, high)
+        assert [tuple(r) for r in got.collect()] == best(runs, 5)
+
+
+def test_runs_are_hashed_in_place():
+    lists = pa.array([[1, 2, 3], None, [], [1, 2], [9]], pa.list_(pa.int64()))
+    (pairs, two), (triples, three) = run_hashes(lists.slice(0, 5), 2, 3)
+    assert pairs.tolist() == [0, 1, 3] and triples.tolist() == [0]
+    assert two[0] == two[2] != two[1] and len(three) == 1
+    assert [p.tolist() for p, _ in run_hashes(lists.slice(3), 1, 2)] == [[0, 1, 2], [0]]
+
+
 def test_summaries_bound_every_count(spark):
     rows = adversaries()["zipf"]
     truth = Counter(t for r in rows for t in r)
