@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.config import CleaningConfig, FeatureConfig, SplitConfig, TrainingConfig
+from opinara.operators import classifiers
 from opinara.operators.classifiers import MODELS, MarginClassifier, fit_linear_svm, load_model, model_fitter, save_model
 from opinara.operators import profiling
 from opinara.plans.evaluate import evaluate
@@ -166,6 +167,22 @@ def test_forest_uses_every_feature(features):
     assert model.score(fitted).columns[:3] == ["id", "label", "features"]
 
 
+def test_forest_reads_even_partitions_and_remembers_nodes(spark, features, monkeypatch):
+    terms, rows = features
+    given, fit = {}, classifiers.RandomForestClassifier.fit
+
+    def noting(self, df, params=None):
+        given["sizes"], given["cached"] = df.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect(), self.getCacheNodeIds()
+        return fit(self, df, params)
+
+    monkeypatch.setattr(classifiers.RandomForestClassifier, "fit", noting)
+    monkeypatch.setattr(classifiers, "ROWS_PER_TASK", 10)
+    fitted = rows.where("split = 'train'").select("id", "label", "features").coalesce(1)
+    model_fitter("random_forest")(fitted, {"n_estimators": 2}, 42, len(terms.vocabulary))
+    assert given["cached"] and len(given["sizes"]) >= spark.sparkContext.defaultParallelism
+    assert sum(given["sizes"]) == fitted.count() and max(given["sizes"]) - min(given["sizes"]) <= 1
+
+
 def matrix(rows):
     rows = rows.where("split = 'train'").orderBy("id").collect()
     return np.array([r.features.toArray() for r in rows]), np.array([r.label for r in rows])
