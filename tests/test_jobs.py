@@ -167,6 +167,22 @@ def test_forest_uses_every_feature(features):
     assert model.score(fitted).columns[:3] == ["id", "label", "features"]
 
 
+def test_forest_keeps_no_more_nodes_than_a_task_has_memory_for(spark, features, monkeypatch):
+    terms, rows = features
+    given, fit = [], classifiers.RandomForestClassifier.fit
+    monkeypatch.setattr(classifiers.RandomForestClassifier, "fit", lambda self, *a: given.append(self.getMaxMemoryInMB()) or fit(self, *a))
+    fitted = rows.where("split = 'train'").select("id", "label", "features")
+    for memory, want in ((450, 112), (100, 64), (9000, 1024)):
+        monkeypatch.setattr(classifiers, "_memory_of_a_task", lambda spark, memory=memory: memory)
+        model_fitter("random_forest")(fitted, {"n_estimators": 2}, 42, len(terms.vocabulary))
+        assert given.pop() == want
+    model_fitter("random_forest")(fitted, {"n_estimators": 2, "max_memory_mb": 300}, 42, len(terms.vocabulary))
+    assert given.pop() == 300
+    monkeypatch.undo()
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() / 2**20
+    assert 0 < classifiers._memory_of_a_task(spark) <= heap * 0.6 / spark.sparkContext.defaultParallelism
+
+
 def test_forest_reads_even_partitions_and_remembers_nodes(spark, features, monkeypatch):
     terms, rows = features
     given, fit = {}, classifiers.RandomForestClassifier.fit
